@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import packing, quality
+from . import neardup, packing, quality, repair
 
 QUERIES = {
+    "op3_minmax_neardup": neardup.query,
+    "op5_repair_tokens": repair.query,
     "op7_binary_packing": packing.query,
     "op8_decision_list": quality.query,
 }
