@@ -128,3 +128,15 @@ def shingle_sets(words: np.ndarray, k: int) -> np.ndarray:
     if len(words) < k:
         return sequence_hashes(words, len(words)) ^ U64(len(words))
     return np.unique(sequence_hashes(words, k))
+
+
+_FOLD = np.full(256, 0x20, np.uint8)
+_FOLD[48:58] = np.arange(48, 58)
+_FOLD[97:123] = np.arange(97, 123)
+_FOLD[65:91] = np.arange(97, 123)
+_FOLD[128:] = np.arange(128, 256)
+
+
+def fold(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased and all ASCII but letters and digits as spaces: words without punctuation."""
+    return _FOLD[data]

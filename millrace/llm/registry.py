@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import neardup, packing, quality, repair
+from . import decontaminate, neardup, packing, quality, repair, secrets, toxicity
 
 QUERIES = {
+    "op4_spaced_seeds": decontaminate.query,
+    "op6_toxicity": toxicity.query,
     "op3_minmax_neardup": neardup.query,
     "op5_repair_tokens": repair.query,
+    "op9_secret_network": secrets.query,
     "op7_binary_packing": packing.query,
     "op8_decision_list": quality.query,
 }
