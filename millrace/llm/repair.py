@@ -33,17 +33,16 @@ from . import common
 from .encode import encoder, tokenizer_path
 
 END_ID = 2
-SHARD_IDS = 1 << 19
+SHARD_IDS = 1 << 20
 MAGIC = b"RPG1"
 #: Rounds, and pairs replaced in each at most.
-ROUNDS = 6
-PAIRS = 1024
+ROUNDS = 4
+PAIRS = 2048
 #: A pair is replaced only if that happens so often at least.
 LEAST_USES = 4
 #: Up to so many shards (16 bytes each), their starts are broadcast; beyond it, joined.
 BROADCAST_SHARDS = 1_000_000
-#: log2 of the counters among which a round's pairs are first told apart.
-COUNTERS = 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 SHARDS = "part int, shard int, n_docs long, n_ids long, payload binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -64,19 +63,21 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.n
         if len(seq) < 2:
             break
         pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS)).astype(np.int32)
-        slot[last[:-1]] = 1 << COUNTERS
-        tally = np.bincount(slot, minlength=(1 << COUNTERS) + 1)
-        tally[-1] = 0
-        least = max(LEAST_USES, int(np.partition(tally, -PAIRS)[-PAIRS]))
-        at = np.flatnonzero((tally >= least)[slot])
-        if not len(at):
+        sorted_pairs = np.sort(pair[~last[:-1]])
+        begin = np.flatnonzero(np.diff(sorted_pairs, prepend=sorted_pairs[:1] + np.uint64(1)))
+        times = np.diff(np.append(begin, len(sorted_pairs)))
+        often = np.flatnonzero(times >= LEAST_USES)
+        if len(often) > PAIRS:
+            often = np.sort(often[np.argsort(-times[often], kind="stable")[:PAIRS]])
+        found = sorted_pairs[begin[often]]
+        if not len(found):
             break
-        found, which, times = np.unique(pair[at], return_inverse=True, return_counts=True)
-        chosen = np.zeros(len(found), bool)
-        chosen[np.argsort(-times, kind="stable")[:PAIRS]] = True
-        chosen &= times >= LEAST_USES
-        fits = chosen[which]
+        # A small table of hashes tells most other pairs from these; a search the rest.
+        table = np.zeros(1 << 16, bool)
+        table[(found * _SPREAD) >> np.uint64(48)] = True
+        at = np.flatnonzero(table[(pair * _SPREAD) >> np.uint64(48)])
+        which = np.minimum(np.searchsorted(found, pair[at]), len(found) - 1)
+        fits = (found[which] == pair[at]) & ~last[at]
         at, which = at[fits], which[fits]
         # Of a run of overlapping places, every second one from the left.
         rank = np.arange(len(at))
