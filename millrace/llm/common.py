@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 #: Rows in an Arrow batch; texts may be long, so a batch stays small.
 BATCH_ROWS = 1000
 
@@ -20,19 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once a context: their Python may not find it by itself."""
-    context = spark.sparkContext
-    if not getattr(context, "_millrace_shipped", False):
-        package = Path(__file__).resolve().parent.parent
-        # The driver serves the file as long as it lives.
-        folder = tempfile.mkdtemp()
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        staged = shutil.copytree(package, Path(folder, "zip", package.name), ignore=shutil.ignore_patterns("__pycache__"))
-        context.addPyFile(shutil.make_archive(str(Path(folder, package.name)), "zip", staged.parent))
-        context._millrace_shipped = True
-
-
 def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that Python's memory does not depend on the partition."""
     ship(spark)
