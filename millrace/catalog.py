@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from .plans import leaks, measures, sampling, texts  # noqa: F401  (they register their queries)
+from .plans.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
