@@ -160,7 +160,20 @@ def substantive_features(spark, sf_dir):
     return own.select("sample_id", "s.drawing", F.round("s.score", 6).alias("score"), "s.passed", F.round("b", 6).alias("boilerplate"), (F.col("s.passed") & (F.col("b") <= 5)).alias("kept"))
 
 
-@query()
+_AXIS = r"len(regexp_extract_all(o, '(?i)\\begin\{([a-zA-Z]*axis|groupplot)\}'))"
+_KEYS = r"(regexp_matches(o, '(?i)\b(?:axis\s+[xy]\s+line\*?|xmin|xmax|ymin|ymax|xtick|ytick|xlabel|ylabel|legend\s+(?:entries|pos))\b') or regexp_matches(o, '\\addplot\b'))"
+_FAR = r"len(list_filter(list_concat(regexp_extract_all(o, '\((-?[0-9]+\.?[0-9]*),[\t\n\x0B\f\r ]*(-?[0-9]+\.?[0-9]*)\)', 1), regexp_extract_all(o, '\((-?[0-9]+\.?[0-9]*),[\t\n\x0B\f\r ]*(-?[0-9]+\.?[0-9]*)\)', 2)), lambda v: abs(v::double) > 1000)) > 0"
+CRITIC = [
+    ("unbalanced_braces", "length(replace(o, '{', '')) <> length(replace(o, '}', ''))"), ("pgfplots_keys_in_plain_tikz", f"mode = 'plain_tikz' and {_KEYS} and {_AXIS} = 0"), ("missing_axis_environment", f"mode = 'pgfplots_axis' and {_AXIS} = 0"),
+    ("missing_tikzcd_environment", r"mode = 'commutative_diagram' and not regexp_matches(o, '(?i)\\begin\{(?:tikzcd|tikz-cd)\}')"), ("legacy_tikzstyle", r"regexp_matches(o, '\\tikzstyle\b')"), ("nested_or_duplicate_axis_environment", f"{_AXIS} > 1"),
+    ("repetition_collapse", f"len(l) > 10 and {_top('l')} > 0.5"), ("coordinate_out_of_range", f"{_AXIS} = 0 and {_FAR}"), ("unclosed_code_fence", _n("```", "o") + " >= 3 and " + _n("```", "o") + " % 2 <> 0"), ("near_empty_completion", rf"length(regexp_replace(o, '\A{WS}+|{WS}+\z', '', 'g')) < 20"),
+    ("html_xml_contamination", "contains(w, '<html') or contains(w, '<?xml') or contains(w, '<div')"), ("python_code_contamination", "contains(w, 'import matplotlib') or contains(w, 'import numpy') or contains(w, 'def plot')"),
+    ("absolute_page_positioning", "contains(w, 'current page.') or contains(w, '(current page)')"), ("base64_data_contamination", "contains(w, 'data:image') or regexp_matches(o, '[A-Za-z0-9+/]{100,}={0,2}')"), ("unclosed_environment", _n(r"\\begin\{", "w") + " <> " + _n(r"\\end\{", "w")),
+]
+
+
+@query(rf"""with {CODES}, m as (select sample_id, {_MODE} as mode, regexp_replace(code, '(?m)(^|[^\\])%[^\n]*', '\1', 'g') as code from codes), c as (select sample_id, mode, code as o, lower(code) as w, {_LINES} as l from m),
+v as (select sample_id, {_list(*CRITIC)} as violations from c) select sample_id, violations, not contains(violations, 'unbalanced_braces') and len(list_filter(string_split(violations, ','), lambda x: x <> '')) <= 2 as kept from v""")
 def static_critic(spark, sf_dir):
     found = T.critic(F.col("code"), T.generation_mode(F.col("code")))
     return codes(spark, sf_dir).select("sample_id", F.array_join(found, ",").alias("violations"), (~F.array_contains(found, "unbalanced_braces") & (F.size(found) <= 2)).alias("kept"))
