@@ -16,8 +16,8 @@ from millrace.llm import common, decontaminate, neardup, packing, quality, secre
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned decision list reject."""
     rules = quality.fit(docs, common.table(spark, sf_dir, "labels"))
-    kept = quality.with_statistics(docs).where(~quality.base_failed("__") & quality.verdict(rules, "__"))
-    return kept.select(*docs.columns)
+    kept = quality.with_statistics(docs).where(~quality.base_failed() & quality.verdict(rules))
+    return kept.select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import common
 from .kernel import mix, sequence_hashes, text_chunks, word_edges, word_hashes
@@ -120,9 +121,9 @@ def counts(column: pa.Array) -> dict[str, np.ndarray]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = counts(batch.column("text"))
-        names = [*batch.schema.names, *(f"__{name}" for name in COUNTS)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[name]) for name in COUNTS)], names)
+        row = batch.column("row")
+        found = counts(row.field(row.type.get_field_index("text")))
+        yield pa.RecordBatch.from_arrays([row, *(pa.array(found[name]) for name in COUNTS)], ["row", *COUNTS])
 
 
 def _counted_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,23 +141,24 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """All columns of docs and the counts, these under names that begin with two underscores."""
+    """Every row of docs as the struct column row, and the counts; no name of docs can clash."""
     common.prepare(docs.sparkSession)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + ", ".join(f"`__{name}` long" for name in COUNTS)
-    return docs.mapInArrow(_counted, schema)
+    whole = docs.select(F.struct("*").alias("row"))
+    schema = StructType([*whole.schema.fields, *(StructField(name, LongType()) for name in COUNTS)])
+    return whole.mapInArrow(_counted, schema)
 
 
-def base_failed(prefix: str = "") -> Column:
+def base_failed() -> Column:
     """The fixed rules: under 10 words, or over 20 percent of the words in repeated windows."""
-    n, r = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    n, r = F.col("n_words"), F.col("n_repeat_words")
     return (n < 10) | (100 * r > 20 * n)
 
 
-def feature(name: str, prefix: str = "") -> Column:
+def feature(name: str) -> Column:
     """A ratio as a column; 0 where the denominator is 0."""
     top, bottom = FEATURES[name]
-    value = F.col(prefix + top).cast("double")
-    return value if bottom is None else F.when(F.col(prefix + bottom) > 0, value / F.col(prefix + bottom)).otherwise(F.lit(0.0))
+    value = F.col(top).cast("double")
+    return value if bottom is None else F.when(F.col(bottom) > 0, value / F.col(bottom)).otherwise(F.lit(0.0))
 
 
 @dataclasses.dataclass(frozen=True)
@@ -170,8 +172,8 @@ class Test:
     def holds(self, x: dict[str, np.ndarray]) -> np.ndarray:
         return x[self.name] > self.bound if self.above else x[self.name] <= self.bound
 
-    def column(self, prefix: str) -> Column:
-        value = feature(self.name, prefix)
+    def column(self) -> Column:
+        value = feature(self.name)
         return value > F.lit(self.bound) if self.above else value <= F.lit(self.bound)
 
 
@@ -248,13 +250,13 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.97, mo
     return rules
 
 
-def verdict(rules: list[Rule], prefix: str = "") -> Column:
+def verdict(rules: list[Rule]) -> Column:
     """The list as an ordered conditional expression: true keeps a row."""
     out = F.lit(True)
     for rule in reversed(rules):
-        body = rule[0].column(prefix)
+        body = rule[0].column()
         for test in rule[1:]:
-            body = body & test.column(prefix)
+            body = body & test.column()
         out = F.when(body, F.lit(False)).otherwise(out)
     return out
 
