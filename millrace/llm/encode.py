@@ -1,12 +1,12 @@
 """Byte-level BPE encoding of whole texts with the tokenizers library.
 
 A pre-token border always lies between a non-space and a following space, so a
-text is cut there and each distinct unit is encoded once per worker: a batch's
-new units are encoded by the library in one call and told apart by the tokens
-that begin with a space. Texts in which that rule is not enough (runs of white
-space, rare white space, the special token's string) are encoded as a whole.
-Results equal those of encoding whole texts; ids are kept as little-endian
-unsigned 32-bit bytes. Null counts as empty.
+text is cut there and each distinct unit is encoded by the library once per worker.
+Units are hashed and looked up with array operations, a batch of texts at a time; a
+batch's new units are encoded in one call and told apart by the tokens that begin
+with a space. Texts in which that rule is not enough (runs of white space, rare
+white space, what may be a special token's string) are encoded as a whole. Results
+equal those of encoding whole texts. Null counts as empty.
 """
 
 from __future__ import annotations
@@ -14,17 +14,22 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+
+from .kernel import mix, prefix_sums, text_chunks
 
 # One task has one core: threads of the library would only contend.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Units kept per worker before the cache starts afresh.
-CACHE_ENTRIES = 1_500_000
+#: log2 of the slots for units; a table that is half full starts afresh.
+SLOTS = 22
 #: Units encoded in one call.
 UNITS = 4096
 
-_RARE = ["  ", "\n ", " \n", "\n\n", "\t", "\r", "\x0b", "\x0c"]
-_RARE += map(chr, [0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+_ODD = np.zeros(256, bool)
+_ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+#: Rarer white space by its UTF-8 bytes.
+_WIDE = [bytes(chr(c), "utf-8") for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -35,7 +40,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """Encodes texts to id bytes; one per worker process."""
+    """Encodes texts to ids; one per worker process."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -44,44 +49,137 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.units: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), UNITS):
-            part = new[at : at + UNITS]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(part):
-                self.units.update((unit, self._whole(" " + unit)) for unit in part)
-                continue
-            joined, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-            self.units.update(zip(part, (joined[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
-
-    def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        """The id bytes of each text."""
-        out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        new: set[str] = set()
-        if len(self.units) > CACHE_ENTRIES:
-            self.units.clear()
-        for row, text in enumerate(texts):
-            if not text:
-                continue
-            if text[-1] in " \n" or text[0] in " \n" or any(map(text.__contains__, _RARE)) or any(map(text.__contains__, self.special)):
-                out[row] = self._whole(text)
-                continue
-            first, *rest = text.split(" ")
-            out[row] = self._whole(first)
-            cut.append((row, rest))
-            new.update(rest)
-        known = self.units
-        self._learn([unit for unit in new if unit not in known])
-        for row, rest in cut:
-            out[row] += b"".join(map(known.__getitem__, rest))
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.places, self.sizes = np.zeros(1 << SLOTS, np.uint64), np.zeros(1 << SLOTS, np.int64), np.zeros(1 << SLOTS, np.int32)
+        self.ids, self.used, self.units = np.zeros(1 << 20, np.uint32), 0, 0
+
+    def whole(self, text: str) -> np.ndarray:
+        """The ids of one text, by the library alone."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        """Each hash's slot, or -1."""
+        mask = np.uint64((1 << SLOTS) - 1)
+        slot = (hashes & mask).astype(np.int64)
+        found = self.keys[slot]
+        out = np.where(found == hashes, slot, -1)
+        left = np.flatnonzero((found != hashes) & (found != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & int(mask)
+            found = self.keys[slot[left]]
+            hit = found == hashes[left]
+            out[left[hit]] = slot[left[hit]]
+            left = left[~hit & (found != 0)]
+        return out
+
+    def _add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New, distinct units."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        places = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.units += len(hashes)
+        mask = (1 << SLOTS) - 1
+        left, slot = np.arange(len(hashes)), (hashes & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = hashes[free]
+            got = left[self.keys[slot[left]] == hashes[left]]
+            self.places[slot[got]], self.sizes[slot[got]] = places[got], sizes[got]
+            left = left[self.keys[slot[left]] != hashes[left]]
+            slot[left] = (slot[left] + 1) & mask
+
+    def _learn(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, leads: np.ndarray) -> bool:
+        """Encode and add new units; whether the table had to be emptied first."""
+        _, first = np.unique(hashes, return_index=True)
+        full = self.units > 0 and self.units + len(first) > 1 << (SLOTS - 1)
+        if full:
+            self._clear()
+        raw = data.tobytes()
+        for lead in (True, False):
+            own = first[leads[first] == lead]
+            for at in range(0, len(own), UNITS):
+                part = own[at : at + UNITS]
+                texts = [raw[a:b].decode() for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)]
+                if lead:
+                    ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+                    begins = np.flatnonzero(self.opens[ids])
+                    if len(begins) == len(part):
+                        self._add(hashes[part], ids, np.diff(np.append(begins, len(ids))))
+                        continue
+                    texts = [" " + t for t in texts]
+                every = [self.whole(t) for t in texts]
+                self._add(hashes[part], np.concatenate(every), np.array([len(e) for e in every]))
+        return full
+
+    def _plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows that may be cut at every space."""
+        gap = (data == 0x20) | (data == 0x0A)
+        odd = _ODD[data]
+        odd[1:] |= gap[1:] & gap[:-1]
+        edges = np.concatenate([offsets[:-1], offsets[1:] - 1])
+        edges = edges[(edges >= 0) & (edges < len(data))]
+        odd[edges] |= gap[edges]
+        raw = data.tobytes()
+        for mark in (*_WIDE, *self.special):
+            at = raw.find(mark)
+            while at >= 0:
+                odd[at] = True
+                at = raw.find(mark, at + 1)
+        sums = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(odd, out=sums[1:])
+        return sums[offsets[1:]] == sums[offsets[:-1]]
+
+    def encode_column(self, column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+        """The ids of each text, as unsigned 32-bit arrays."""
+        out: list[np.ndarray] = []
+        for a, b, data, offsets in text_chunks(column):
+            n = b - a
+            plain = self._plain(data, offsets) & (np.diff(offsets) > 0)
+            # Units of all rows: they begin at a row's start and after every space.
+            begins = np.zeros(len(data) + 1, bool)
+            begins[offsets[:-1]] = True
+            spaces = np.flatnonzero(data == 0x20)
+            begins[spaces + 1] = True
+            begins = begins[: len(data)]
+            starts = np.flatnonzero(begins)
+            row = np.searchsorted(offsets, starts, "right") - 1
+            held = plain[row]
+            starts, row = starts[held], row[held]
+            lead = data[np.maximum(starts - 1, 0)] == 0x20
+            lead &= starts != offsets[row]
+            ends = np.empty(len(starts), np.int64)
+            ends[:-1] = np.where(row[1:] == row[:-1], starts[1:] - 1, offsets[row[:-1] + 1])
+            ends[-1:] = offsets[row[-1:] + 1]
+            sums, down = prefix_sums(data)
+            hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+            hashes = np.where(lead, mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), hashes)
+            hashes[hashes == 0] = 1
+            slots = self._slots(hashes)
+            new = np.flatnonzero(slots < 0)
+            if len(new):
+                if self._learn(data, hashes[new], starts[new], ends[new], lead[new]):
+                    # The table was emptied: what was known before has to be learned again.
+                    slots = self._slots(hashes)
+                    again = np.flatnonzero(slots < 0)
+                    if len(again):
+                        self._learn(data, hashes[again], starts[again], ends[again], lead[again])
+                    slots = self._slots(hashes)
+                else:
+                    slots[new] = self._slots(hashes[new])
+            sizes = self.sizes[slots].astype(np.int64)
+            stops = np.cumsum(sizes)
+            total = int(stops[-1]) if len(stops) else 0
+            flat = self.ids[np.repeat(self.places[slots] - (stops - sizes), sizes) + np.arange(total)]
+            per_row = np.zeros(n + 1, np.int64)
+            np.cumsum(np.bincount(row, weights=sizes, minlength=n).astype(np.int64), out=per_row[1:])
+            raw = data.tobytes() if not plain.all() else b""
+            for i, (x, y, cut) in enumerate(zip(per_row[:-1].tolist(), per_row[1:].tolist(), plain.tolist(), strict=True)):
+                out.append(flat[x:y] if cut else self.whole(raw[offsets[i] : offsets[i + 1]].decode()))
         return out
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text handled at once; longer single texts are handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -95,14 +95,20 @@ def word_edges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def prefix_sums(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a byte polynomial, and the factors that move a run's sum to its start."""
+    up, down = _powers.get(len(letters) + 1)
+    sums = np.zeros(len(letters) + 1, U64)
+    terms = letters.astype(U64)
+    terms += U64(1)
+    terms *= up[: len(letters)]
+    np.cumsum(terms, out=sums[1:])
+    return sums, down
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
     """A 64-bit hash of each word: a polynomial in its bytes, finalised."""
-    up, down = _powers.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    letters = (_LOWER[data] if lower else data).astype(U64)
-    letters += U64(1)
-    letters *= up[: len(data)]
-    np.cumsum(letters, out=sums[1:])
+    sums, down = prefix_sums(_LOWER[data] if lower else data)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
 
 

@@ -45,8 +45,8 @@ def _cutter(path: str, limit: int, end_id: int, with_ids: bool) -> Callable[[Ite
         enc = encoder(path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_many(batch.column("text").to_pylist()), strict=True):
-                ids += end
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_column(batch.column("text")), strict=True):
+                ids = ids.tobytes() + end
                 total, start = len(ids) // 4, 0
                 for length in piece_lengths(total, limit):
                     k = length.bit_length() - 1

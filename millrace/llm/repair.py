@@ -198,10 +198,10 @@ def _writer(path: str, end_id: int, shard_ids: int) -> Callable[[Iterator[pa.Rec
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "shard", "n_docs", "n_ids", "payload"])
 
         for batch in batches:
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_many(batch.column("text").to_pylist()), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_column(batch.column("text")), strict=True):
                 docs.append(doc)
-                held.append(ids + end)
-                size += len(ids) // 4 + 1
+                held.append(ids.tobytes() + end)
+                size += len(ids) + 1
                 if size >= shard_ids:
                     yield flush()
                     docs, held, size, shard = [], [], 0, shard + 1
