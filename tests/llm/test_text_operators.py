@@ -1,0 +1,247 @@
+"""Packing, Re-Pair output, quality rules, decontamination, toxicity, secrets and licences."""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from millrace.llm import decontaminate, licenses, packing, quality, repair, secrets, toxicity
+from millrace.llm.encode import Encoder, tokenizer_path
+
+from .samples import no_docs, odd_docs, odd_texts, prose
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Encoder(tokenizer_path())
+
+
+def whole_ids(tokenizer, text, end):
+    return [*(tokenizer.whole(text).tolist() if text else []), end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_encoder_equals_library(tokenizer):
+    pieces = ["a", "The", "é", "'s", "'", " ", "  ", "\n", "###", ".", "12", "²", "don't", "ß", "<|endoftext|>", "\t", "日本", "　", "’", "S", "T"]
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(pieces, rng.integers(0, 9))) for _ in range(4000)] + [t for t in odd_texts() if t is not None]
+    fresh = Encoder(tokenizer_path())
+    for at in range(0, len(texts), 500):
+        for text, got in zip(texts[at : at + 500], fresh.encode_column(pa.array(texts[at : at + 500])), strict=True):
+            assert got.tolist() == tokenizer.whole(text).tolist()
+
+
+def test_packing(spark, tokenizer):
+    rows = packing.pack(odd_docs(spark)).collect()
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        assert r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 1024
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    for i, text in enumerate(odd_texts()):
+        ids = whole_ids(tokenizer, text, 0)
+        own = sorted(pieces[i], key=lambda r: r.start)
+        if i in (5, 6):  # these rows come twice
+            own = own[::2]
+        at = 0
+        for r in own:
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == crc(ids[at : at + r.length])
+            assert np.frombuffer(r.ids, "<u4").tolist() == ids[at : at + r.length]
+            at += r.length
+        assert at == len(ids)
+    assert packing.pack(no_docs(spark)).count() == 0
+    assert packing.piece_lengths(2047) == [1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1]
+
+
+def test_repair_round_trip(spark, tokenizer, tmp_path):
+    docs = odd_docs(spark)
+    folder = f"file://{tmp_path}/shards"
+    repair.write(docs, folder, shard_ids=2000)
+    got = sorted(repair.read(spark, folder).collect(), key=lambda r: r.start)
+    at = 0
+    expected = sorted([(i, t) for i, t in enumerate(odd_texts())] + [(i, odd_texts()[i]) for i in (5, 6)], key=lambda x: x[0])
+    for (i, text), r in zip(expected, got, strict=True):
+        ids = whole_ids(tokenizer, text, 2)
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, at, len(ids), crc(ids))
+        at += len(ids)
+    repair.write(no_docs(spark), folder + "0")
+    assert repair.read(spark, folder + "0").count() == 0
+
+
+def test_repair_random_access():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = rng.integers(0, 80, rng.integers(1, 8))
+        ids, ends = rng.integers(0, 3, sizes.sum()).astype("<u4"), np.cumsum(sizes)
+        shard = repair.Shard(repair.dump(list(range(len(sizes))), ids, ends))
+        for i, (a, b) in enumerate(zip(ends - sizes, ends, strict=True)):
+            assert shard.document(i).tolist() == ids[a:b].tolist()
+            if b - a > 5:
+                assert shard.ids(i, 2, b - a - 1).tolist() == ids[a + 2 : b - 1].tolist()
+    ids = np.tile(np.array([1, 2, 3, 4], "<u4"), 500)
+    seq, _, rules = repair.compress(ids, np.array([2000]), 5)
+    assert len(rules) >= 3 and len(seq) < 300
+
+
+def plain_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    grams = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    marked = {j for i in range(len(words) - 4) if grams[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(marked)
+
+
+def test_quality_counts(spark):
+    got = quality.statistics(odd_docs(spark)).collect()
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(odd_texts()[r.doc_id])
+    assert len(got) == len(odd_texts()) + 2
+    assert quality.statistics(no_docs(spark)).count() == 0
+
+
+def test_decision_list_learns(spark):
+    good = [prose(60, i) for i in range(60)]
+    bad = ["".join(w + "### " for w in prose(60, 100 + i).split()) for i in range(40)]
+    docs = odd_docs(spark, good + bad)
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(100)] + [(3, None), (None, 1)], "doc_id long, quality int")
+    rules = quality.fit(docs, labels)
+    assert rules and len(rules) < 4
+    kept = {r.doc_id for r in quality.statistics(docs).where(quality.verdict(rules)).select("doc_id").collect()}
+    assert kept == set(range(60))
+    rows = quality.with_statistics(docs).where(quality.verdict(rules)).select("row.*")
+    assert rows.columns == docs.columns and rows.count() == 62
+    assert quality.fit(docs, labels.where("quality = 1")) == [] and quality.fit(no_docs(spark), labels) == []
+    assert quality.statistics(docs).where(quality.verdict([])).count() == 102
+
+
+def test_decontamination(spark):
+    items = [prose(30, 500 + i) for i in range(5)] + ["four words only here", "", None, "two words"]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    swapped = items[1].split()
+    swapped[4], swapped[11] = "xx", "yy"
+    texts = [prose(50, 1) + " " + items[0].upper() + ". " + prose(50, 2), prose(9, 3) + " " + " ".join(swapped), prose(400, 4), items[2].replace(" ", ", "), "say Four words, only here!", " ".join(items[3].split()[:11]), None, "", "two words"]
+    docs = odd_docs(spark, texts)
+    got = {r.doc_id: r for r in decontaminate.report(docs, bench).collect()}
+    assert {i: r.item_ids for i, r in got.items() if not r.kept} == {0: [0], 1: [1], 3: [2], 4: [5]}
+    cleaned = decontaminate.clean(docs, bench)
+    assert cleaned.columns == docs.columns and {r.doc_id for r in cleaned.collect()} == {2, 5, 6, 7, 8}
+    assert decontaminate.report(docs, bench.limit(0)).where("kept").count() == len(texts) + 2
+    assert decontaminate.report(no_docs(spark), bench).count() == 0
+    old, decontaminate.BLOCK_WORDS = decontaminate.BLOCK_WORDS, 40
+    try:
+        many = {r.doc_id: r.item_ids for r in decontaminate.report(docs, bench).collect()}
+    finally:
+        decontaminate.BLOCK_WORDS = old
+    assert many == {i: r.item_ids for i, r in got.items()}
+
+
+def test_any_two_substitutions_are_found():
+    from itertools import combinations
+
+    for gone in combinations(range(15), 2):
+        assert any(all(m[j] == "0" or i + j not in gone for j in range(len(m))) for m in decontaminate.MASKS for i in range(15 - len(m) + 1))
+
+
+def toxic_corpus():
+    texts, labels = [], []
+    for i in range(400):
+        words = prose(40, i).split()
+        toxic = i % 4 == 0
+        if toxic:
+            words[5:5] = [("idiot", "Moron!!", "scum,", "LOSER")[i // 4 % 4]]
+        # Mentions of one group go with the label: the bias to be taken out.
+        if i % 20 == 1 or (toxic and i % 3 > 0):
+            words[9:9] = ["muslim"]
+        texts.append(" ".join(words))
+        labels.append(int(toxic))
+    return texts, labels
+
+
+def test_toxicity(spark):
+    texts, labels = toxic_corpus()
+    docs = odd_docs(spark, texts)
+    table = spark.createDataFrame([(i, y) for i, y in enumerate(labels)] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.score(docs, toxicity.train(docs, table)).collect()
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} <= {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0} and len(held) > 50
+    assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.95
+    odd = toxicity.score(odd_docs(spark), toxicity.train(docs, table)).collect()
+    assert len(odd) == len(odd_texts()) + 2 and all(0 <= r.score <= 1 for r in odd)
+    assert toxicity.score(no_docs(spark), toxicity.train(docs, table)).count() == 0
+    assert {r.predicted for r in toxicity.score(docs, toxicity.train(docs, table.where("toxic = 0"))).collect()} == {0}
+
+
+def test_counterfactual_term_lowers_mentions():
+    texts, labels = toxic_corpus()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    rows = [np.array(x, np.int64) for b in toxicity._featured([batch]) for x in b.column("features").to_pylist()]
+    mention = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(["a muslim teacher spoke", "a teacher spoke"])], ["doc_id", "text"])
+
+    def gap(weight):
+        model = toxicity.fit(rows, np.array(labels), swap_weight=weight)
+        with_term, without = (np.log(p / (1 - p)) for p in next(iter(toxicity._scorer(*model)([mention]))).column("score").to_pylist())
+        return with_term - without
+
+    assert gap(0.0) > 0.3 and abs(gap(toxicity.SWAP_WEIGHT)) < gap(0.0) / 4
+
+
+def test_secrets(spark):
+    docs = odd_docs(spark)
+    for r in secrets.scan(docs).collect():
+        text = odd_texts()[r.doc_id] or ""
+        spans = [("assign", *m.span()) for m in secrets.ASSIGN.finditer(text) if len(m[2]) >= 6]
+        spans += [("access", *m.span()) for m in secrets.ACCESS.finditer(text) if len(m[0]) >= 20] + [("hex", *m.span()) for m in secrets.HEX.finditer(text) if len(m[0]) >= 24]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in spans) for k in secrets.KINDS[:3])
+        import hashlib
+
+        assert r.base_sha256 == hashlib.sha256(secrets.joined(spans).encode()).hexdigest()
+        assert set(secrets.joined(spans).split(",")) <= set(r.spans.split(","))
+    cleaned = secrets.redact(docs)
+    assert cleaned.columns == docs.columns and cleaned.where("contains(text, 'abcdef123456') or contains(text, 'AKIAABC')").isEmpty()
+    assert cleaned.where("text is null").count() == 1 and cleaned.where("n_chars <> length(text)").isEmpty()
+    assert secrets.scan(no_docs(spark)).count() == 0 and secrets.redact(no_docs(spark)).count() == 0
+
+
+def test_secret_network_on_unseen_findings():
+    model = secrets.network()
+    rows, y = secrets.labelled(2000, seed=77)
+    p = model.probability(np.stack([secrets.encode(*r) for r in rows]))
+    assert (p[y == 1] >= model.threshold).mean() > 0.97 and (p[y == 0] >= model.threshold).mean() < 0.02
+    text = "see Bearer ghp_Ab12Cd34Ef56Gh78Ij90Kl12Mn34Op56Qr78 here, é " + prose(30, 1)
+    ((kind, a, b),) = secrets.find([text], model)[0]
+    assert kind == "model" and text[a:b].startswith("ghp_")
+
+
+def plain_licenses(text):
+    found = {}
+    lines = (text or "").split("\n")
+    for i, unit in enumerate([*lines, text] if len(lines) > 1 else lines):
+        own = set(licenses.bigrams(unit or ""))
+        for name, template in licenses.TEMPLATES.items():
+            other = set(licenses.bigrams(template))
+            if own and 200 * len(own & other) >= 80 * (len(own) + len(other)):
+                found.setdefault(name, []).append((-len(own & other) / (len(own) + len(other)), i))
+    return found
+
+
+def test_licenses(spark):
+    texts = [t for t in odd_texts() if t is None or len(t) < 5000] + [licenses.TEMPLATES["mit"].replace("free of charge", "free"), prose(20, 1) + "\n" + licenses.TEMPLATES["gpl-3.0-notice"].replace("\n", " ") + "\n" + prose(9, 2), "RELEASED under, the MIT license\nReleased under the MIT License."]
+    got = {r.doc_id: r for r in licenses.scan(odd_docs(spark, texts)).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        expected = plain_licenses(text)
+        assert got[i].licenses == ",".join(sorted(expected)) and got[i].n_licenses == len(expected)
+        if expected:
+            assert got[i].best == min(expected, key=lambda n: (min(expected[n])[0], n))
+    assert got[len(texts) - 3].licenses == "mit" and "gpl-3.0-notice" in got[len(texts) - 2].licenses
+    assert licenses.scan(no_docs(spark)).count() == 0
+    plan = licenses.scan(odd_docs(spark, texts, clashes=False))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
