@@ -141,9 +141,9 @@ def geometry_hints(spark, sf_dir):
     return codes(spark, sf_dir).select("sample_id", T.generation_mode(code).alias("mode"), F.array_join(T.libraries(code), ",").alias("libraries"), T.bounding_box(code)["min_x"].alias("min_x"), T.bounding_box(code)["max_y"].alias("max_y"), T.external(code).alias("external"))
 
 
-@query(rf"""with {CODES}, p as (select *, case when regexp_matches(code, '\\usetikzlibrary\{{') then list_sum(list_transform({_LIBS}, lambda x: case x when 'mindmap' then 3.0 when 'shadows' then 1.5 else 0.1 end)) else 0 end s,
+@query(rf"""with {CODES}, p as (select *, case when regexp_matches(code, '\\usetikzlibrary\{{') then list_sum(list_transform({_LIBS}, lambda x: case x when 'mindmap' then 3.0 when 'shadows' then 1.5 else 0.1 end::double)) else 0 end s,
 list_distinct(regexp_extract_all(code, '\\(draw|fill|filldraw|node|path|coordinate|addplot)\b', 1)) d from codes)
-select sample_id, round(least(5.0, (1 + s + case when regexp_matches(code, '\\node[\t\n\x0B\f\r ]*\(') then 0.3 else 0 end) * case when d = ['draw'] then 0.5 else 1 end), 6) as score from p""")
+select sample_id, round(least(5.0::double, (1 + s + case when regexp_matches(code, '\\node[\t\n\x0B\f\r ]*\(') then 0.3 else 0 end) * case when d = ['draw'] then 0.5 else 1 end), 6) as score from p""")
 def pedagogical_score(spark, sf_dir):
     return codes(spark, sf_dir).select("sample_id", F.round(T.pedagogical(F.col("code")), 6).alias("score"))
 
