@@ -92,6 +92,8 @@ def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # With fewer words than the smallest bound has bigrams, nothing can match.
     words = F.split(F.trim(F.regexp_replace(F.lower("part"), "[^a-z0-9]+", " ")), " ")
     units = units.select("doc_id", "unit", words.alias("words")).where(F.size("words") > low)
+    # A set of bigrams has at least as many as there are distinct words, less one: most whole texts stop here.
+    units = units.where((F.size("words") - 1 <= high) | (F.size(F.array_distinct("words")) - 1 <= high))
     grams = F.array_distinct(F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda a, b: F.concat_ws(" ", a, b)))
     units = units.select("doc_id", "unit", grams.alias("grams")).select("doc_id", "unit", F.size("grams").alias("size"), "grams").where(F.col("size").between(low, high))
     # The index has as many rows as the templates have bigrams: a fixed, small broadcast.
