@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -73,6 +73,11 @@ def bounds(size: int, percent: int) -> tuple[int, int]:
     return -(-size * percent // (200 - percent)), size * (200 - percent) // percent
 
 
+def _once(value: Column) -> Column:
+    """The value, computed in one place: a filter on it is not moved below, where it would compute it again."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def _templates(percent: int) -> list[tuple[str, str, int, int, int]]:
     out = []
     for name, text in TEMPLATES.items():
@@ -91,11 +96,11 @@ def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     units = docs.where("text is not null").select("doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(lines, F.array("text"))).otherwise(lines)).alias("unit", "part"))
     # With fewer words than the smallest bound has bigrams, nothing can match.
     words = F.split(F.trim(F.regexp_replace(F.lower("part"), "[^a-z0-9]+", " ")), " ")
-    units = units.select("doc_id", "unit", words.alias("words")).where(F.size("words") > low)
+    units = units.select("doc_id", "unit", _once(words).alias("words")).where(F.size("words") > low)
     # A set of bigrams has at least as many as there are distinct words, less one: most whole texts stop here.
     units = units.where((F.size("words") - 1 <= high) | (F.size(F.array_distinct("words")) - 1 <= high))
     grams = F.array_distinct(F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda a, b: F.concat_ws(" ", a, b)))
-    units = units.select("doc_id", "unit", grams.alias("grams")).select("doc_id", "unit", F.size("grams").alias("size"), "grams").where(F.col("size").between(low, high))
+    units = units.select("doc_id", "unit", _once(grams).alias("grams")).select("doc_id", "unit", F.size("grams").alias("size"), "grams").where(F.col("size").between(low, high))
     # The index has as many rows as the templates have bigrams: a fixed, small broadcast.
     held = units.select("doc_id", "unit", "size", F.explode("grams").alias("gram")).join(F.broadcast(index), "gram").where(F.col("size").between(F.col("low"), F.col("high")))
     shared = held.groupBy("doc_id", "unit", "size", "license", "t_size").agg(F.count(F.lit(1)).alias("shared"))
