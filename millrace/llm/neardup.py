@@ -199,8 +199,7 @@ def groups(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     signed = common.keep(docs.mapInArrow(_signer(k), _SIGNED), "signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
     firsts = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("rid"))
-    same = [filled["d1"] == firsts["d1"], filled["d2"] == firsts["d2"], filled["doc_id"] == firsts["rid"]]
-    reps = filled.join(firsts, same, "left_semi").select(F.col("doc_id").alias("rid"), F.col("n_shingles").alias("n"), "sig", "bands").dropDuplicates(["rid"])
+    reps = filled.join(firsts.select(F.col("rid").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rid"), F.col("n_shingles").alias("n"), "sig", "bands").dropDuplicates(["rid"])
     reps = common.keep(reps, "representatives")
 
     # Members of buckets of two or more, and each bucket's hub.
@@ -241,7 +240,8 @@ def groups(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
         known = common.keep(components(found.union(more)), "components")
 
     # Back to all rows: representative by digest, then component by representative.
-    classes = firsts.join(known, firsts["rid"] == known["node"], "left").select("d1", "d2", F.coalesce("component", "rid").alias("component_id"))
+    # Written first: a join of two plain tables is split where one digest has very many documents.
+    classes = common.keep(firsts.join(known, firsts["rid"] == known["node"], "left").select("d1", "d2", F.coalesce("component", "rid").alias("component_id")), "classes")
     placed = filled.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
     rest = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return placed.union(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
