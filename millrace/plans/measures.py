@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..operators import similarity as V
+from ..session import ship
 from .base import query, table
 
 _VARIANTS = "v as (select case o_orderkey % 3 when 0 then 'base' when 1 then 'one' else 'two' end variant, o_orderstatus = 'F' compile, o_totalprice < 300000 bad_pattern_pass, o_orderpriority = '1-URGENT' repetition_loop, floor(o_totalprice) as code_length from orders)"
@@ -143,14 +144,16 @@ def schedules(spark, sf_dir):
     return spark.range(0, 1200, 25).select(F.col("id").alias("step")).select("step", F.round(M.learning_rate(step, 0.001, 100, 1000, 0.0001), 9).alias("rate"), M.scheduled(step, {0.0: 512, 0.3: 1024, 0.8: 2048}, 1000).alias("length"), place["epoch"].alias("epoch"), place["cursor"].alias("cursor"))
 
 
-def _vectors(spark, sf_dir, most=40):
-    return table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding").where(F.col("vec_id") < most)
+def _vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
 
 
 def _vector_pairs(spark, sf_dir):
-    one, two = (_vectors(spark, sf_dir).select(F.col("vec_id").alias(i), F.col("label").alias(a), F.col("embedding").alias(e)) for i, a, e in (("i", "a", "x"), ("j", "b", "y")))
+    ship(spark)
+    # A row holds two blocks of vectors.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     # Labels meet their successors: the sets that are compared are given, not all pairs of vectors.
-    return one.join(two, F.col("b") == F.col("a") + 1).select("a", "b", "i", "j", V.cosine(F.col("x"), F.col("y")).alias("cosine"))
+    return V.block_pairs(_vectors(spark, sf_dir))
 
 
 _COS = "p as (select a.label a, b.label b, a.vec_id i, b.vec_id j, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) c from embeddings a join embeddings b on b.label = a.label + 1 where a.vec_id < 40 and b.vec_id < 40)"
@@ -158,7 +161,7 @@ _COS = "p as (select a.label a, b.label b, a.vec_id i, b.vec_id j, list_cosine_s
 
 @query(f"with {_COS} select i, j, round(c, 6) as cosine from p")
 def cosine_pairs(spark, sf_dir):
-    return _vector_pairs(spark, sf_dir).select("i", "j", F.round("cosine", 6).alias("cosine"))
+    return V.all_cosines(_vector_pairs(spark, sf_dir)).select("i", "j", F.round("cosine", 6).alias("cosine"))
 
 
 @query(f"with {_COS}, x as (select a, b, avg(m) x from (select a, b, i, max(c) m from p group by all) group by all), y as (select a, b, avg(m) y from (select a, b, j, max(c) m from p group by all) group by all) select a, b, round((x + y) / 2, 6) as score from x join y using (a, b)")
@@ -168,10 +171,8 @@ def selfsim_by_label(spark, sf_dir):
 
 @query()
 def emd_pairs(spark, sf_dir):
-    from ..session import ship
-
     ship(spark)
-    sets = _vectors(spark, sf_dir, 100).groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("v"))
+    sets = _vectors(spark, sf_dir).groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("v"))
     other = sets.select((F.col("label") - 1).alias("label"), F.col("v").alias("w"))
     return sets.join(other, "label").select("label", V.transport("v", "w").alias("r")).select("label", F.round("r.score", 6).alias("score"), "r.backend")
 
