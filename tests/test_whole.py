@@ -29,3 +29,18 @@ def test_similarity_of_whole_sets(spark, vectors):
     assert scores == {(a, a + 1): pytest.approx((m.max(1).mean() + m.max(0).mean()) / 2, abs=1e-6) for a, m in near.items()}
 
 
+def test_transport_of_unequal_sets(spark, vectors):
+    r = np.random.default_rng(1)
+    for n, m in ((1, 4), (2, 3), (4, 6), (6, 4), (7, 5), (5, 5), (70, 75)):
+        cost = r.random((n, m))
+        # Every member as often as the other side's size: an assignment.
+        copies = np.repeat(np.repeat(cost, m, 0), n, 1) if n < 70 else np.repeat(np.repeat(cost, 15, 0), 14, 1)
+        assert similarity.transport_cost(cost) == pytest.approx(similarity.assignment(copies) / len(copies))
+    assert similarity.exact_transport([[1, 0]], [[1, 0], [0, 1]]) == (pytest.approx(0.5), "transport")
+    folder, sets = vectors
+    got = {r.label: r for r in catalog.QUERIES["emd_pairs"](spark, folder).collect()}
+    assert {k: x.backend for k, x in got.items()} == {0: "transport", 1: "transport"}
+    for a, x in got.items():
+        assert x.score == pytest.approx(1 - similarity.transport_cost(1 - sets[a][1] @ sets[a + 1][1].T), abs=2e-6)
+
+
