@@ -260,6 +260,6 @@ _KINDS = "list_distinct(list_concat(a.t, b.t))"
 @query(rf"""with t as (select item_id, list_slice(regexp_extract_all(text, '\\[A-Za-z]+|[A-Za-z0-9_]+|[^\t\n\x0B\f\r A-Za-z0-9_]'), 1, 40) t from benchmark), p as (select a.item_id, a.t x, b.t y, {_KINDS} k from t a join t b on b.item_id = a.item_id + 1)
 select item_id, levenshtein(array_to_string(list_transform(x, lambda v: chr((list_position(k, v) + 32)::int)), ''), array_to_string(list_transform(y, lambda v: chr((list_position(k, v) + 32)::int)), ''))::int as distance from p""")
 def token_edit_distance(spark, sf_dir):
-    own = table(spark, sf_dir, "benchmark").select("item_id", F.slice(T.tokens(F.col("text")), 1, 40).alias("t"))
+    own = table(spark, sf_dir, "benchmark").select("item_id", T.tokens(F.col("text")).alias("t"))
     other = own.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("o"))
     return own.join(other, "item_id").select("item_id", T.edit_distance(F.col("t"), F.col("o")).alias("distance"))

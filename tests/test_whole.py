@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 
@@ -44,3 +46,20 @@ def test_transport_of_unequal_sets(spark, vectors):
         assert x.score == pytest.approx(1 - similarity.transport_cost(1 - sets[a][1] @ sets[a + 1][1].T), abs=2e-6)
 
 
+def distance(left, right):
+    row = list(range(len(right) + 1))
+    for i, x in enumerate(left, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(right, 1):
+            last, row[j] = row[j], last if x == y else 1 + min(last, row[j], row[j - 1])
+    return row[-1]
+
+
+def test_edit_distance_of_whole_texts(spark, tmp_path):
+    texts = [" ".join(f"w{(i * k) % 97}" for i in range(90)) for k in (1, 2, 3)] + ["same " * 45 + "end", "same " * 45 + "other {x}"]
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.item_id: r.distance for r in catalog.QUERIES["token_edit_distance"](spark, str(tmp_path)).collect()}
+    split = [re.findall(r"\\[A-Za-z]+|[A-Za-z0-9_]+|[^\t\n\x0B\f\r A-Za-z0-9_]", t) for t in texts]
+    assert got == {i: distance(split[i], split[i + 1]) for i in range(4)} and got[3] == 4
+
+
