@@ -131,7 +131,7 @@ def paired_split(spark, sf_dir):
 
 @query(f"with d as (select doc_id, {BY_ID} split, substr(sha256(coalesce(source, '') || chr(10) || text), 1, 16) sample_id, sha256(text) content_hash from documents) select doc_id, sample_id, content_hash from d where split <> 'train'")
 def stable_ids(spark, sf_dir):
-    return _split(spark, sf_dir).where("split <> 'train'").select("doc_id", S.stable_id(F.coalesce("source", F.lit("")), F.col("text")).alias("sample_id"), F.sha2("text", 256).alias("content_hash"))
+    return table(spark, sf_dir, "documents").select("doc_id", S.stable_id(F.coalesce("source", F.lit("")), F.col("text")).alias("sample_id"), F.sha2("text", 256).alias("content_hash"))
 
 
 @query("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'F')")

@@ -242,8 +242,7 @@ def chat_flatten(spark, sf_dir):
 @query(rf"""with {CODES}, f as (select sample_id, 'text ```latex' || chr(10) || source || ' ``` more ```' || code || '```' as t from codes where code not like '%```%')
 select sample_id, regexp_replace(list_extract(regexp_extract_all(t, '(?is)```(?:latex)?[\t\n\x0B\f\r ]*(.*?)```', 1), -1), '\A{WS}+|{WS}+\z', '', 'g') as code from f""")
 def last_fenced_block(spark, sf_dir):
-    own = codes(spark, sf_dir).where("not contains(code, '```')")
-    return own.select("sample_id", T.last_fence(F.concat(F.lit("text ```latex\n"), "source", F.lit(" ``` more ```"), "code", F.lit("```"))).alias("code"))
+    return codes(spark, sf_dir).select("sample_id", T.last_fence(F.concat(F.lit("text ```latex\n"), "source", F.lit(" ``` more ```"), "code", F.lit("```"))).alias("code"))
 
 
 @query(rf"""with {CODES}, t as (select sample_id, list_distinct(regexp_extract_all(code, '\\[A-Za-z]+|[A-Za-z0-9_]+|[^\t\n\x0B\f\r A-Za-z0-9_]')) t from codes)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 
 from millrace import catalog
 from millrace.operators import similarity
+from millrace.plans import records
 
 
 @pytest.fixture
@@ -63,3 +65,22 @@ def test_edit_distance_of_whole_texts(spark, tmp_path):
     assert got == {i: distance(split[i], split[i + 1]) for i in range(4)} and got[3] == 4
 
 
+def test_every_document_has_its_ids(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else f"s{i % 3}", f"text {i}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.sample_id, r.content_hash) for r in catalog.QUERIES["stable_ids"](spark, str(tmp_path)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {i: (sha(f"{source or ''}\n{text}")[:16], sha(text)) for i, source, text in rows}
+
+
+def test_last_block_of_every_record(spark):
+    tables = "/root/testdata/sf0.001"
+    codes = records.codes(spark, tables).collect()
+    got = {r.sample_id: r.code for r in catalog.QUERIES["last_fenced_block"](spark, tables).collect()}
+    assert len(got) == len(codes) and any("```" in r.code for r in codes)
+    for r in codes:
+        text = f"text ```latex\n{r.source} ``` more ```{r.code}```"
+        blocks = re.findall(r"```(?:latex)?[\t\n\x0B\f\r ]*(.*?)```", text, re.DOTALL | re.IGNORECASE)
+        assert got[r.sample_id] == blocks[-1].strip("\t\n\x0b\f\r ")
+
+
