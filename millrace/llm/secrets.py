@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and a character convolutional network over every other candidate.
 
-Candidates are the base patterns' matches and all longer runs of key characters
-that mix letters and digits. The network, numpy alone, sees a candidate's first
-characters and the characters around it; it is trained on a generated set of
+Candidates are the base patterns' matches and, of all runs of key characters, the
+parts outside those matches and their pieces between / . and =, if they have
+LEAST_MODEL characters and mix letters and digits. The network, numpy alone, sees
+INSIDE characters of a candidate and those around it; overlapping windows cover a longer
+one, and the highest score counts. It is trained on a generated set of
 labelled findings (formats of published key types against identifiers, numbers,
 addresses, paths, hashes in prose), calibrated by temperature on a second part, and
 its threshold is the highest that keeps RECALL of that part's findings. Base
@@ -35,6 +37,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 #: Every match of ACCESS and HEX that is long enough lies in such a run.
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: The rest of a run, between characters that join keys to hosts, paths and names.
+PIECE = re.compile(r"[A-Za-z0-9+_-]+")
 _WORDS = ("password", "passwd", "secret", "token", "api")
 _DIGIT = re.compile(r"[0-9]")
 _LETTER = re.compile(r"[A-Za-z]")
@@ -52,24 +56,49 @@ Span = tuple[str, int, int]
 
 
 def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
-    """The fixed patterns' spans, and the runs that the network may judge."""
+    """The fixed patterns' spans, and the candidates that the network may judge."""
     spans: list[Span] = []
     lowered = text.lower()
     if any(map(lowered.__contains__, _WORDS)):
         spans += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    others = []
+    runs = []
     for m in RUN.finditer(text):
         run, at = m[0], m.start()
         spans += [("access", at + x.start(), at + x.end()) for x in ACCESS.finditer(run) if len(x[0]) >= 20] if "AKIA" in run else []
         if len(run) >= 24:
             spans += [("hex", at + x.start(), at + x.end()) for x in HEX.finditer(run) if len(x[0]) >= 24]
-        if len(run) >= LEAST_MODEL and _DIGIT.search(run) and _LETTER.search(run):
-            others.append(m.span())
-    if spans:
-        others = [(a, b) for a, b in others if all(b <= x or a >= y for _, x, y in spans)]
+        if _may_hold(run):
+            runs.append(m.span())
+    taken, first, others = sorted(s[1:] for s in spans), 0, []
+    for a, b in runs:
+        while first < len(taken) and taken[first][1] <= a:
+            first += 1
+        at, k = a, first
+        while k < len(taken) and taken[k][0] < b:
+            others += _candidates(text, at, taken[k][0])
+            at, k = max(at, taken[k][1]), k + 1
+        others += _candidates(text, at, b)
     return spans, others
 
 
+def _may_hold(run: str) -> bool:
+    return len(run) >= LEAST_MODEL and bool(_DIGIT.search(run)) and bool(_LETTER.search(run))
+
+
+def _candidates(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A part of a run, and its pieces."""
+    part = text[start:end]
+    if end <= start or not _may_hold(part):
+        return []
+    pieces = [(start + m.start(), start + m.end()) for m in PIECE.finditer(part) if len(m[0]) < len(part) and _may_hold(m[0])]
+    return [(start, end), *pieces]
+
+
+def windows(start: int, end: int) -> list[tuple[int, int]]:
+    """What the network sees of a candidate: the candidate, and from its first INSIDE characters on, INSIDE at a time by half, to its end."""
+    return [(start, end)] + [(min(at, end - INSIDE), min(at, end - INSIDE) + INSIDE) for at in range(start + INSIDE // 2, end - INSIDE // 2, INSIDE // 2)] if end - start > INSIDE else [(start, end)]
+
+
 def ordered(spans: list[Span]) -> list[Span]:
     """By start, then by kind."""
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
@@ -234,17 +263,26 @@ def network() -> Network:
 
 def find(texts: list[str | None], model: Network) -> list[list[Span]]:
     """All spans of each text, in order; the model's candidates are judged together."""
-    out, asked, places = [], [], []
+    out, asked, places, judged = [], [], [], []
     for row, text in enumerate(texts):
         spans, others = base_spans(text) if text else ([], [])
         out.append(spans)
+        judged.append({})
         for a, b in others:
-            asked.append(encode(text, a, b))
-            places.append((row, a, b))
+            for x, y in windows(a, b):
+                asked.append(encode(text, x, y))
+                places.append((row, a, b))
     if asked:
         for (row, a, b), p in zip(places, model.probability(np.stack(asked)), strict=True):
             if p >= model.threshold:
-                out[row].append(("model", a, b))
+                judged[row][a, b] = True
+    for spans, found in zip(out, judged, strict=True):
+        end = -1
+        # A piece of a part that is found is found with it.
+        for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
+            if b > end:
+                spans.append(("model", a, b))
+                end = b
     return [ordered(spans) for spans in out]
 
 
