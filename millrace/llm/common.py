@@ -29,10 +29,13 @@ def prepare(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared folder that the cluster names.
 
-    Only where spark.checkpoint.dir is unset, as in tests, a local one is made.
+    Only where spark.checkpoint.dir is unset and all tasks run on this machine, as in
+    tests, a local one is made; a cluster without that setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "millrace")
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
@@ -42,4 +45,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.millrace_path = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `keep` once all that was made of them has been written itself."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.millrace_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

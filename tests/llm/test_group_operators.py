@@ -45,14 +45,12 @@ def copies(n, seed):
     return out
 
 
-@pytest.mark.parametrize("small", [48, 2])
-def test_near_duplicates(spark, small):
+@pytest.mark.parametrize("limits", [(256, 4 << 20, 32 << 20), (3, 2000, 1000)])
+def test_near_duplicates(spark, limits, monkeypatch):
+    for name, limit in zip(("BLOCK", "BLOCK_BYTES", "STAR_BYTES"), limits, strict=True):
+        monkeypatch.setattr(neardup, name, limit)
     texts = copies(25, 5) + odd_texts()
-    old, neardup.SMALL, block, neardup.BLOCK = neardup.SMALL, small, neardup.BLOCK, 7
-    try:
-        got = neardup.groups(odd_docs(spark, texts), k=4).dropDuplicates(["doc_id"]).collect()
-    finally:
-        neardup.SMALL, neardup.BLOCK = old, block
+    got = neardup.groups(odd_docs(spark, texts), k=4).dropDuplicates(["doc_id"]).collect()
     root, sizes = plain_groups(texts, 4)
     assert len(got) == len(texts)
     for r in got:
@@ -60,6 +58,25 @@ def test_near_duplicates(spark, small):
     assert len(set(root)) < len(texts) - 40
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that share a doc_id, or have none, are judged each by its own text."""
+    texts = copies(30, 8)
+    ids = [i // 3 for i in range(len(texts))]
+    rows = [*zip(ids, texts, strict=True), (None, texts[0]), (None, texts[0]), (0, None), (1, "")]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, tag string")
+    root, sizes = plain_groups(texts, 4)
+    least = {r: min(ids[i] for i in range(len(texts)) if root[i] == r) for r in set(root)}
+    got = sorted((r.doc_id is None, r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.groups(docs, k=4).collect() if r.doc_id is not None)
+    assert got == sorted([(False, ids[i], sizes[i], least[root[i]], ids[i] == least[root[i]]) for i in range(len(texts))] + [(False, 0, 0, 0, True), (False, 1, 0, 1, True)])
+    root, _ = plain_groups(texts, 5)
+    least = {r: min(ids[i] for i in range(len(texts)) if root[i] == r) for r in set(root)}
+    kept = {(ids[i], texts[i], "x") for i in range(len(texts)) if ids[i] == least[root[i]]}
+    cleaned = neardup.clean(docs, k=5)
+    assert cleaned.columns == docs.columns
+    order = lambda x: tuple(str(v) for v in x)
+    assert sorted(map(tuple, cleaned.collect()), key=order) == sorted([*kept, (None, texts[0], "x"), (None, texts[0], "x"), (0, None, "x"), (1, "", "x")], key=order)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert neardup.groups(no_docs(spark), k=5).count() == 0
     lone = neardup.groups(odd_docs(spark, [None, "", "a"]), k=5).collect()
