@@ -22,9 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: five words, similarity 0.8 or more; the smallest doc_id stays."""
-    gone = common.keep(neardup.groups(docs, k=5).where(~F.col("kept")).select("doc_id").distinct(), "duplicates")
-    few = gone.count() <= neardup.BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    return neardup.clean(docs, k=5)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
