@@ -48,7 +48,7 @@ BLOCK_BYTES = 4 << 20
 #: Bytes of shingle sets that are sent to one hub at once.
 STAR_BYTES = 32 << 20
 #: Up to so many candidate ids or keys (24 bytes each) are broadcast; beyond it they are joined.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 200_000
 
 _RNG = np.random.default_rng(20240229)
 _XOR = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -212,8 +212,10 @@ def _blocks(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     hubs = comps.groupBy("hub").agg(F.max_by("component", "c").alias("bulk"), F.max("c").alias("c_bulk"), F.max_by("w", "c").alias("w_bulk"), F.sum("c").alias("c_all"), F.sum("w").alias("w_all"))
     share = lambda c, w: F.greatest(F.ceil(c / BLOCK), F.ceil(8 * w / BLOCK_BYTES)).cast("int")
     hubs = hubs.select("hub", "bulk", share(F.col("c_bulk"), F.col("w_bulk")).alias("p"), share(F.col("c_all") - F.col("c_bulk"), F.col("w_all") - F.col("w_bulk")).alias("q"))
+    # Written first, so that the join with a hub of very many members is split.
+    hubs = common.keep(hubs, "bulks")
     place = F.xxhash64("rid")
-    placed = mixed.join(hubs, "hub").withColumn("in_bulk", F.col("component") == F.col("bulk"))
+    placed = mixed.join(_few(hubs), "hub").withColumn("in_bulk", F.col("component") == F.col("bulk"))
     placed = placed.withColumn("block", F.when(F.col("in_bulk"), F.pmod(place, F.col("p"))).otherwise(F.col("p") + F.pmod(place, F.col("q"))).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.when(F.col("in_bulk"), F.col("p")).otherwise(0), F.col("p") + F.col("q") - 1)))
     rows = placed.join(sets, "rid").select("hub", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "rid", "component", "shingles")
