@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, licenses, packing, quality, repair, secrets, toxicity
 from millrace.llm.encode import Encoder, tokenizer_path
@@ -122,32 +123,59 @@ def test_decision_list_learns(spark):
     assert quality.statistics(docs).where(quality.verdict([])).count() == 102
 
 
-def test_decontamination(spark):
-    items = [prose(30, 500 + i) for i in range(5)] + ["four words only here", "", None, "two words"]
-    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
-    swapped = items[1].split()
-    swapped[4], swapped[11] = "xx", "yy"
-    texts = [prose(50, 1) + " " + items[0].upper() + ". " + prose(50, 2), prose(9, 3) + " " + " ".join(swapped), prose(400, 4), items[2].replace(" ", ", "), "say Four words, only here!", " ".join(items[3].split()[:11]), None, "", "two words"]
-    docs = odd_docs(spark, texts)
-    got = {r.doc_id: r for r in decontaminate.report(docs, bench).collect()}
-    assert {i: r.item_ids for i, r in got.items() if not r.kept} == {0: [0], 1: [1], 3: [2], 4: [5]}
+def folded(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", "".join(c if c.isalnum() or ord(c) > 127 or c in "\t\n\v\f\r" else " " for c in text))
+
+
+def plain_leaks(text, items):
+    """Items of which a window of 12 words (the whole of a shorter one) agrees in 80 percent (all, below 9 words)."""
+    words, out = folded(text), set()
+    for i, item in items:
+        test = folded(item)
+        size = min(12, len(test))
+        need = size if len(test) < 9 else -(-size * 80 // 100)
+        for a in range(len(test) - size + 1 if size else 0):
+            if any(sum(x == y for x, y in zip(test[a : a + size], words[b : b + size], strict=True)) >= need for b in range(len(words) - size + 1)):
+                out.add(i)
+    return sorted(out, key=lambda i: (i is None, i or 0))
+
+
+def test_decontamination(spark, monkeypatch):
+    r = np.random.default_rng(12)
+    items = [prose(n, 500 + n) for n in (30, 25, 14, 13, 12, 12, 11, 10, 9, 8, 5, 40)] + ["four words only here", "", None, "two words", "lone"]
+    rows = [*enumerate(items), (90, items[0]), (None, items[1]), (3, items[3])]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    texts = [prose(50, 1) + " " + items[0].upper() + ". " + prose(50, 2), prose(400, 4), items[2].replace(" ", ", "), "say Four words, only here!", " ".join(items[3].split()[:11]), None, "", "two words", prose(9000, 5) + " " + items[4]]
+    for n in range(160):
+        words = items[n % 12].split()
+        at = r.integers(0, max(1, len(words) - 13))
+        words = words[at : at + r.integers(8, 40)]
+        for _ in range(r.integers(0, 4)):
+            words[r.integers(0, len(words))] = f"x{n}"
+        texts.append(prose(int(r.integers(0, 9)), 700 + n) + " " + " ".join(words) + " " + prose(int(r.integers(0, 9)), 900 + n))
+    docs = odd_docs(spark, texts).union(odd_docs(spark, [texts[0]]).withColumn("doc_id", F.lit(None).cast("long")))
+    report = lambda: sorted(((r.doc_id is None, r.doc_id, r.n_items, r.item_ids, r.matched_words, r.overlap, r.kept) for r in decontaminate.report(docs, bench).collect()), key=str)
+    got = report()
+    expected = {i: plain_leaks(t, rows) for i, t in enumerate(texts)} | {None: plain_leaks(texts[0], rows)}
+    assert len(got) == len(texts) + 3 and sum(map(bool, expected.values())) > 80
+    for _, doc, n, found, _, _, kept in got:
+        assert (found, n, kept) == (expected[doc], len(found), not found), (doc, texts[doc])
     cleaned = decontaminate.clean(docs, bench)
-    assert cleaned.columns == docs.columns and {r.doc_id for r in cleaned.collect()} == {2, 5, 6, 7, 8}
-    assert decontaminate.report(docs, bench.limit(0)).where("kept").count() == len(texts) + 2
+    assert cleaned.columns == docs.columns and {r.doc_id for r in cleaned.collect()} == {i for i, x in expected.items() if not x}
+    assert decontaminate.report(docs, bench.limit(0)).where("kept").count() == len(texts) + 3
     assert decontaminate.report(no_docs(spark), bench).count() == 0
-    old, decontaminate.BLOCK_WORDS = decontaminate.BLOCK_WORDS, 40
-    try:
-        many = {r.doc_id: r.item_ids for r in decontaminate.report(docs, bench).collect()}
-    finally:
-        decontaminate.BLOCK_WORDS = old
-    assert many == {i: r.item_ids for i, r in got.items()}
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+    assert report() == got
 
 
-def test_any_two_substitutions_are_found():
+def test_every_qualifying_overlap_is_hit():
     from itertools import combinations
 
-    for gone in combinations(range(15), 2):
-        assert any(all(m[j] == "0" or i + j not in gone for j in range(len(m))) for m in decontaminate.MASKS for i in range(15 - len(m) + 1))
+    for size in range(9, 13):
+        masks = decontaminate.masks_of(size)
+        for gone in combinations(range(size), size - -(-size * 80 // 100)):
+            assert any(all(m[j] == "0" or i + j not in gone for j in range(len(m))) for m in masks for i in range(size - len(m) + 1)), (size, gone)
 
 
 def toxic_corpus():
