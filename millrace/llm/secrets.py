@@ -1,19 +1,20 @@
 """Secret scans: fixed patterns, and a character convolutional network over every other candidate.
 
-Candidates are the base patterns' matches and, of all runs of key characters, the
-parts outside those matches and their pieces between / . and =, if they have
-LEAST_MODEL characters and mix letters and digits. The network, numpy alone, sees
+Candidates are, of all runs of LEAST_MODEL key characters or more, the parts outside
+the base patterns' matches and their pieces between / . and =, if they have that
+length. A base match needs no judgement: it stays. The network, numpy alone, sees
 INSIDE characters of a candidate and those around it; overlapping windows cover a longer
 one, and the highest score counts. It is trained on a generated set of
 labelled findings (formats of published key types against identifiers, numbers,
-addresses, paths, hashes in prose), calibrated by temperature on a second part, and
+addresses, paths, long words, rules of signs), calibrated by temperature on a second part, and
 its threshold is the highest that keeps RECALL of that part's findings. Base
 matches always stay; the network adds spans that overlap none of them.
 
 Spans are (kind, start, end) in code points, end exclusive; order is by start, then
 by kind as in KINDS.
 
-Defined results: null and empty texts have no spans; of equal candidates each place
+Defined results: null and empty texts have no spans; very long texts are scanned
+whole; repeated rows each have their spans; of equal candidates each place
 counts; overlapping base spans of different kinds all stay; other columns are
 ignored by `scan` and kept by `redact`, null texts too; an empty table gives no rows.
 """
@@ -40,9 +41,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 #: The rest of a run, between characters that join keys to hosts, paths and names.
 PIECE = re.compile(r"[A-Za-z0-9+_-]+")
 _WORDS = ("password", "passwd", "secret", "token", "api")
-_DIGIT = re.compile(r"[0-9]")
-_LETTER = re.compile(r"[A-Za-z]")
-LEAST_MODEL = 20
+LEAST_MODEL = 16
 MASK = "[secret]"
 
 BEFORE, INSIDE, AFTER = 24, 48, 8
@@ -67,8 +66,7 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
         spans += [("access", at + x.start(), at + x.end()) for x in ACCESS.finditer(run) if len(x[0]) >= 20] if "AKIA" in run else []
         if len(run) >= 24:
             spans += [("hex", at + x.start(), at + x.end()) for x in HEX.finditer(run) if len(x[0]) >= 24]
-        if _may_hold(run):
-            runs.append(m.span())
+        runs.append(m.span())
     taken, first, others = sorted(s[1:] for s in spans), 0, []
     for a, b in runs:
         while first < len(taken) and taken[first][1] <= a:
@@ -81,16 +79,11 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     return spans, others
 
 
-def _may_hold(run: str) -> bool:
-    return len(run) >= LEAST_MODEL and bool(_DIGIT.search(run)) and bool(_LETTER.search(run))
-
-
 def _candidates(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """A part of a run, and its pieces."""
-    part = text[start:end]
-    if end <= start or not _may_hold(part):
+    if end - start < LEAST_MODEL:
         return []
-    pieces = [(start + m.start(), start + m.end()) for m in PIECE.finditer(part) if len(m[0]) < len(part) and _may_hold(m[0])]
+    pieces = [(start + m.start(), start + m.end()) for m in PIECE.finditer(text[start:end]) if LEAST_MODEL <= len(m[0]) < end - start]
     return [(start, end), *pieces]
 
 
@@ -217,7 +210,8 @@ def labelled(n: int = EXAMPLES, seed: int = 5) -> tuple[list[tuple[str, int, int
             lambda: pick(mixed, rng.integers(20, 60)), lambda: pick(mixed + "+/", rng.integers(24, 64)) + "=" * rng.integers(0, 3),
             lambda: "ghp_" + pick(mixed, 36), lambda: "sk-" + pick(mixed, rng.integers(32, 48)), lambda: "xoxb-" + pick(_DIGITS, 11) + "-" + pick(mixed, 24),
             lambda: "eyJ" + pick(mixed + "_-", 30) + "." + pick(mixed + "_-", 40), lambda: "AIza" + pick(mixed + "_-", 35), lambda: pick(_LOWER + _DIGITS, rng.integers(24, 40)),
-            lambda: pick(_UPPER + _DIGITS, rng.integers(20, 40)), lambda: pick("0123456789ABCDEF", rng.integers(32, 64)),
+            lambda: pick(_UPPER + _DIGITS, rng.integers(20, 40)), lambda: pick("0123456789ABCDEF", rng.integers(32, 64)), lambda: pick(_LOWER + _UPPER, rng.integers(20, 48)),
+            lambda: pick(mixed, rng.integers(16, 24)),
         ]
         key = kinds[rng.integers(0, len(kinds))]()
         lead = ["", "", "key: ", "auth = ", "Bearer ", 'credential="', "export KEY="][rng.integers(0, 7)]
@@ -229,15 +223,18 @@ def labelled(n: int = EXAMPLES, seed: int = 5) -> tuple[list[tuple[str, int, int
             lambda: "/".join(["usr", word(), word(), word() + pick(_DIGITS, 2), word() + ".py"]), lambda: "_".join(word() for _ in range(5)) + pick(_DIGITS, 2),
             lambda: f"20{pick(_DIGITS, 2)}-{pick('01', 1)}{pick(_DIGITS, 1)}-{pick('012', 1)}{pick(_DIGITS, 1)}T{pick(_DIGITS, 2)}.{pick(_DIGITS, 6)}Z", lambda: word().title() + word().title() + word().title() + word().title() + pick(_DIGITS, rng.integers(1, 3)),
             lambda: word() + "." + word() + pick(_DIGITS, 2) + "." + word() + "." + word() + ".example.org", lambda: "=" * 12 + pick(_DIGITS, 2) + word() + "=" * 12, lambda: (word() + pick(_DIGITS, 1)) * 4,
+            lambda: pick("=-_.", 1) * rng.integers(16, 60), lambda: "".join(word() for _ in range(rng.integers(5, 8))), lambda: "".join(word().title() for _ in range(rng.integers(4, 7))), lambda: pick(_DIGITS, rng.integers(16, 30)),
+            lambda: "/".join(word() for _ in range(rng.integers(4, 8))), lambda: "-".join(word() for _ in range(rng.integers(4, 7))), lambda: "+".join(pick(_DIGITS, 5) for _ in range(4)), lambda: "_".join(word().upper() for _ in range(4)),
             lambda: pick(_DIGITS, 18) + word(), lambda: ".".join([word(), word(), word(), "v" + pick(_DIGITS, 1), pick(_DIGITS, 2)]) + "-" + word(), lambda: (word() + word() + word() + word()).upper() + pick(_DIGITS, 2),
         ]
         lead = ["", "", "see ", "at ", "file ", "http://", "of the "][rng.integers(0, 7)]
-        return lead, (kinds[rng.integers(0, len(kinds))]() + word() + word())[:64]
+        run = kinds[rng.integers(0, len(kinds))]()
+        return lead, (run if len(run) >= LEAST_MODEL else run + word() + word())[:64]
 
     rows, answers = [], np.arange(n) % 2
     for y in answers:
         lead, run = secret() if y else harmless()
-        run = run.ljust(LEAST_MODEL, "0") if len(run) < LEAST_MODEL else run
+        run = run.ljust(LEAST_MODEL, "a") if len(run) < LEAST_MODEL else run
         before = prose(rng.integers(0, 6)) + " " + lead
         text = before + run + [" ", '"', ". ", "\n", ", "][rng.integers(0, 5)] + prose(rng.integers(0, 3))
         rows.append((text, len(before), len(before) + len(run)))
