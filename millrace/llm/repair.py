@@ -2,17 +2,20 @@
 
 Documents are range-partitioned by doc_id, encoded, and gathered into shards of
 about `SHARD_IDS` ids, in ascending doc_id order (equal ids by text). Each
-shard is compressed by Re-Pair: rounds that count all neighbouring pairs,
-replace the most frequent ones by new symbols (leftmost first, never across a
-document's end) and go on with the shorter sequence. A shard's bytes hold the
+shard is compressed by Re-Pair until no pair occurs LEAST_USES times: a round counts
+the neighbouring pairs, replaces the most frequent ones by new symbols (where two
+overlap the more frequent one, then the smaller; of a run of one pair every second from
+the left; never across a document's end) and goes on with what is left. A pair that has
+become rare stays rare, so a round looks only at pairs that may still be frequent and at
+those with a new symbol. A shard's bytes hold the
 rules, each symbol's expansion length and every document's place, so one
 document, or a range of its ids, is decoded without the others.
 
 Shards are rows (part, shard, n_ids, payload) of a table that Spark writes, so
 a lost executor's shards are written again and any store that Spark knows will do.
 
-Defined results: a null or empty text has the end id only; a null doc_id sorts
-first; repeated rows are all written; other columns are ignored; an empty table
+Defined results: a null or empty text has the end id only, a very long one is a shard
+by itself if need be; a null doc_id sorts first; repeated rows are all written; other columns are ignored; an empty table
 gives an empty file set.
 """
 
@@ -34,92 +37,155 @@ from .encode import encoder, tokenizer_path
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-MAGIC = b"RPG1"
-#: Rounds, and pairs replaced in each at most.
-ROUNDS = 4
-PAIRS = 2048
-#: A pair is replaced only if that happens so often at least.
-LEAST_USES = 4
+MAGIC = b"RPG2"
+#: A round replaces the pairs that occur over half as often as the most frequent one, and so many at least; one pair at a time would be plain Re-Pair.
+PAIRS = 4096
+#: A pair is replaced while it occurs so often.
+LEAST_USES = 2
 #: Up to so many shards (16 bytes each), their starts are broadcast; beyond it, joined.
 BROADCAST_SHARDS = 1_000_000
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_BITS = 20
 
 SHARDS = "part int, shard int, n_docs long, n_ids long, payload binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def _frequent(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that occur LEAST_USES times or more, overlaps included, in order, and how often."""
+    ordered = np.sort(pair)
+    begin = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] + np.uint64(1)))
+    times = np.diff(np.append(begin, len(ordered)))
+    often = times >= LEAST_USES
+    return ordered[begin[often]], times[often]
+
+
+def _chosen(which: np.ndarray, weight: np.ndarray, touch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the places, in order, are replaced, and which pairs lost a place to another pair.
+
+    which is the pair of each place, weight tells which pair goes first (the highest), touch whether a place overlaps the next one.
+    """
+    own = weight[which]
+    wins = np.ones(len(which), bool)
+    wins[1:] &= ~touch | (own[1:] >= own[:-1])
+    wins[:-1] &= ~touch | (own[:-1] >= own[1:])
+    lost = np.zeros(len(weight), bool)
+    lost[which[~wins]] = True
+    same = np.zeros(len(which), bool)
+    same[1:] = touch & (which[1:] == which[:-1])
+    if same.any():
+        at = np.arange(len(which))
+        wins &= (at - np.maximum.accumulate(np.where(same, 0, at))) & 1 == 0
+    return wins, lost
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of one shard: (symbols, where each document's symbols end, rules of two symbols).
 
     ids holds all documents' ids, ends where each document ends in it; symbols of
-    first_symbol or more are rules, in order.
+    first_symbol or more are rules, in order. The sequence stays in place as a linked list.
     """
-    seq = ids.astype(np.uint32)
-    last = np.zeros(len(seq), bool)
+    n = len(ids)
+    seq, following, preceding = ids.astype(np.uint32), np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    last, gone = np.zeros(n, bool), np.zeros(n, bool)
     last[ends[ends > 0] - 1] = True
+    # Places whose pair may be frequent.
+    open_ = ~last
+    if not n:
+        return seq, np.zeros(len(ends), np.int64), np.zeros((0, 2), np.uint32)
+    table = np.full(1 << _BITS, -1, np.int32)
     rules: list[np.ndarray] = []
     made = first_symbol
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        sorted_pairs = np.sort(pair[~last[:-1]])
-        begin = np.flatnonzero(np.diff(sorted_pairs, prepend=sorted_pairs[:1] + np.uint64(1)))
-        times = np.diff(np.append(begin, len(sorted_pairs)))
-        often = np.flatnonzero(times >= LEAST_USES)
-        if len(often) > PAIRS:
-            often = np.sort(often[np.argsort(-times[often], kind="stable")[:PAIRS]])
-        found = sorted_pairs[begin[often]]
+    while True:
+        at = np.flatnonzero(open_)
+        pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[following[at]]
+        found, times = _frequent(pair) if len(at) else (pair, at)
         if not len(found):
             break
-        # A small table of hashes tells most other pairs from these; a search the rest.
-        table = np.zeros(1 << 16, bool)
-        table[(found * _SPREAD) >> np.uint64(48)] = True
-        at = np.flatnonzero(table[(pair * _SPREAD) >> np.uint64(48)])
-        which = np.minimum(np.searchsorted(found, pair[at]), len(found) - 1)
-        fits = (found[which] == pair[at]) & ~last[at]
-        at, which = at[fits], which[fits]
-        # Of a run of overlapping places, every second one from the left.
-        rank = np.arange(len(at))
-        opens = np.ones(len(at), bool)
-        opens[1:] = np.diff(at) != 1
-        odd = (rank - np.maximum.accumulate(np.where(opens, rank, 0))) & 1
-        at, which = at[odd == 0], which[odd == 0]
-        used = np.bincount(which, minlength=len(found)) >= LEAST_USES
-        fits = used[which]
+        # Frequent pairs by hash: of two in one slot, the other has its turn later.
+        slot = (found * _SPREAD) >> np.uint64(64 - _BITS)
+        table[slot] = np.arange(len(found), dtype=np.int32)
+        which = table[(pair * _SPREAD) >> np.uint64(64 - _BITS)]
+        own = table[slot] == np.arange(len(found))
+        table[slot] = -1
+        open_[at[which < 0]] = False
+        weight = (times << 32) - np.arange(len(found))
+        taken = own & (2 * times > times.max())
+        if len(found) <= PAIRS:
+            taken = own
+        elif np.count_nonzero(taken) < PAIRS:
+            taken = own & (weight >= np.partition(weight, -PAIRS)[-PAIRS])
+        fits = (which >= 0) & taken[which]
+        at, which, pair = at[fits], which[fits], pair[fits]
+        fits = found[which] == pair
         at, which = at[fits], which[fits]
+        wins, lost = _chosen(which, weight, following[at[:-1]] == at[1:])
+        enough = np.bincount(which[wins], minlength=len(found)) >= LEAST_USES
+        # Too few places, though none was lost to another pair: they overlap each other.
+        open_[at[(~enough & ~lost)[which]]] = False
+        wins &= enough[which]
+        at, which = at[wins], which[wins]
         if not len(at):
-            break
-        names = np.cumsum(used) - 1 + made
-        rules.append(found[used])
-        made += int(used.sum())
-        seq[at] = names[which]
-        last[at] = last[at + 1]
-        stays = np.ones(len(seq), bool)
-        stays[at + 1] = False
-        seq, last = seq[stays], last[stays]
+            continue
+        rules.append(found[enough])
+        right = following[at]
+        seq[at] = (np.cumsum(enough) - 1 + made)[which]
+        made += int(enough.sum())
+        last[at] = last[right]
+        gone[right], open_[right] = True, False
+        following[at] = following[right]
+        preceding[following[right]] = at
+        open_[at] = ~last[at]
+        before = preceding[at]
+        before = before[before >= 0]
+        open_[before] = ~last[before]
     pairs = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
-    closed = np.flatnonzero(last) + 1
+    closed = np.cumsum(~gone)[last & ~gone]
     places = np.zeros(len(ends), np.int64)
-    filled = np.diff(ends, prepend=0) > 0
-    places[filled] = closed
+    places[np.diff(ends, prepend=0) > 0] = closed
     places = np.maximum.accumulate(places) if len(places) else places
-    return seq, places, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    return seq[~gone], places, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+
+
+def _packed(numbers: np.ndarray, bits: int) -> bytes:
+    """Unsigned numbers in so many bits each."""
+    raised = numbers.astype(np.uint64)
+    out = np.zeros(len(raised) * bits // 64 + 2, np.uint64)
+    at = np.arange(len(raised), dtype=np.int64) * bits
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    np.bitwise_or.at(out, word, raised << shift)
+    over = shift + np.uint64(bits) > np.uint64(64)
+    np.bitwise_or.at(out, word[over] + 1, raised[over] >> (np.uint64(64) - shift[over]))
+    return out.astype("<u8").tobytes()
+
+
+def _unpacked(words: np.ndarray, n: int, bits: int) -> np.ndarray:
+    at = np.arange(n, dtype=np.int64) * bits
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    # Shifted in two steps: a shift by 64 is undefined.
+    high = words[word + 1] << (np.uint64(63) - shift) << np.uint64(1)
+    return ((words[word] >> shift | high) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
 def dump(doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray) -> bytes:
-    """A shard's bytes: header, document ids, places, id counts, rules, expansion lengths, symbols."""
-    first = int(ids.max()) + 1 if len(ids) else 0
-    seq, places, rules = compress(ids, ends, first)
-    lengths = np.ones(first + len(rules), np.uint32)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[first + i] = lengths[a] + lengths[b]
-    width = 2 if first + len(rules) < 1 << 16 else 4
+    """A shard's bytes: header, document ids, places, id counts and the shard's own ids, then rules, expansion lengths and symbols in as few bits as hold them.
+
+    Symbols below `first` number the shard's own ids in order, those from there on its rules.
+    """
+    own = np.flatnonzero(np.bincount(ids)) if len(ids) else np.zeros(0, np.int64)
+    number = np.zeros(int(own[-1]) + 1 if len(own) else 0, np.uint32)
+    number[own] = np.arange(len(own))
+    first = len(own)
+    seq, places, rules = compress(number[ids], ends, first)
+    lengths = [1] * first
+    for a, b in rules.tolist():
+        lengths.append(lengths[a] + lengths[b])
+    bits, length_bits = max(1, (first + len(rules)).bit_length()), max(lengths, default=1).bit_length()
     known = np.array([d is not None for d in doc_ids], np.uint8)
-    head = struct.pack("<4sIIIQB", MAGIC, len(doc_ids), first, len(rules), len(seq), width)
+    head = struct.pack("<4sIIIQBB", MAGIC, len(doc_ids), first, len(rules), len(seq), bits, length_bits)
     return b"".join([
-        head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(), known.tobytes(), places.astype("<i8").tobytes(),
-        np.diff(ends, prepend=0).astype("<i8").tobytes(), rules.astype("<u4").tobytes(), lengths[first:].astype("<u4").tobytes(), seq.astype(f"<u{width}").tobytes(),
+        head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(), known.tobytes(), places.astype("<i8").tobytes(), np.diff(ends, prepend=0).astype("<i8").tobytes(),
+        own.astype("<u4").tobytes(), _packed(rules.ravel(), bits), _packed(np.array(lengths[first:], np.uint32), length_bits), _packed(seq, bits),
     ])
 
 
@@ -127,10 +193,11 @@ class Shard:
     """Random access to a shard's bytes."""
 
     def __init__(self, payload: bytes) -> None:
-        magic, docs, self.first, rules, symbols, width = struct.unpack_from("<4sIIIQB", payload)
+        head = "<4sIIIQBB"
+        magic, docs, self.first, rules, symbols, bits, length_bits = struct.unpack_from(head, payload)
         if magic != MAGIC:
             raise ValueError("not a shard of this format")
-        at = struct.calcsize("<4sIIIQB")
+        at = struct.calcsize(head)
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -138,20 +205,23 @@ class Shard:
             at += got.nbytes
             return got
 
+        def numbers(n: int, bits: int) -> np.ndarray:
+            return _unpacked(take("<u8", n * bits // 64 + 2), n, bits)
+
         ids, known = take("<i8", docs), take("<u1", docs)
         self.doc_ids = [d if k else None for d, k in zip(ids.tolist(), known.tolist(), strict=True)]
-        self.places, self.counts = take("<i8", docs), take("<i8", docs)
-        self.rules, self.rule_lengths = take("<u4", 2 * rules).reshape(-1, 2), take("<u4", rules)
-        self.symbols = take(f"<u{width}", symbols)
+        self.places, self.counts, self.own = take("<i8", docs), take("<i8", docs), take("<u4", self.first)
+        self.rules, self.rule_lengths = numbers(2 * rules, bits).reshape(-1, 2), numbers(rules, length_bits)
+        self.symbols = numbers(symbols, bits)
         self._flat: np.ndarray | None = None
 
     def _expansions(self) -> None:
-        """All expansions one after another, terminals first."""
+        """All expansions one after another, the shard's own ids first."""
         lengths = np.concatenate([np.ones(self.first, np.int64), self.rule_lengths.astype(np.int64)])
         self._starts = np.cumsum(lengths) - lengths
         self._lengths = lengths
         flat = np.empty(int(lengths.sum()), np.uint32)
-        flat[: self.first] = np.arange(self.first)
+        flat[: self.first] = self.own
         starts, sizes = self._starts.tolist(), lengths.tolist()
         for i, (a, b) in enumerate(self.rules.tolist()):
             at = starts[self.first + i]
@@ -215,7 +285,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
     """Encode all documents and write the shards to a folder of any store that Spark knows."""
     common.prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text").mapInArrow(_writer(path or tokenizer_path(), end_id, shard_ids), SHARDS).write.parquet(folder)
+    rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text").mapInArrow(_writer(path or tokenizer_path(), end_id, shard_ids), SHARDS).write.parquet(folder)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,9 @@ def test_encoder_equals_library(tokenizer):
     pieces = ["a", "The", "é", "'s", "'", " ", "  ", "\n", "###", ".", "12", "²", "don't", "ß", "<|endoftext|>", "\t", "日本", "　", "’", "S", "T"]
     rng = np.random.default_rng(0)
     texts = ["".join(rng.choice(pieces, rng.integers(0, 9))) for _ in range(4000)] + [t for t in odd_texts() if t is not None]
+    texts += ["x" * 65, "A.b.c'd'ell 'll 's. 't't \nThe", "a'\nb'sc", "é.a a.é 1.2'3", "y" * 64 + " z", ",\n,", "don't;don'tx 'sx s's' ''s .'s"]
+    words = [*"abSt'\"-.,;:!?#1\n é’ß", "the", "'s", "'ll", " a", "don"]
+    texts += ["".join(rng.choice(words, rng.integers(1, 12))) for _ in range(6000)]
     fresh = Encoder(tokenizer_path())
     for at in range(0, len(texts), 500):
         for text, got in zip(texts[at : at + 500], fresh.encode_column(pa.array(texts[at : at + 500])), strict=True):
@@ -89,7 +92,40 @@ def test_repair_random_access():
                 assert shard.ids(i, 2, b - a - 1).tolist() == ids[a + 2 : b - 1].tolist()
     ids = np.tile(np.array([1, 2, 3, 4], "<u4"), 500)
     seq, _, rules = repair.compress(ids, np.array([2000]), 5)
-    assert len(rules) >= 3 and len(seq) < 300
+    assert len(rules) <= 16 and len(seq) < 12
+
+
+def most_uses(seq, places):
+    """How often the most frequent pair of symbols occurs within documents, overlaps left out."""
+    uses, begin = Counter(), 0
+    for end in places.tolist():
+        at = begin
+        own, free = seq[begin:end].tolist(), {}
+        for at, pair in enumerate(zip(own, own[1:])):
+            if free.get(pair, -1) < at:
+                uses[pair] += 1
+                free[pair] = at + 1
+        begin = end
+    return max(uses.values(), default=0)
+
+
+@pytest.mark.parametrize("pairs", [1, 4096])
+def test_repair_goes_on_to_the_end(monkeypatch, pairs):
+    monkeypatch.setattr(repair, "PAIRS", pairs)
+    rng = np.random.default_rng(9)
+    for alphabet in (1, 2, 3, 40, 2000):
+        for _ in range(12):
+            sizes = rng.integers(0, 400, rng.integers(1, 9))
+            ids, ends = (rng.zipf(1.3, sizes.sum()) % alphabet).astype("<u4"), np.cumsum(sizes)
+            seq, places, rules = repair.compress(ids, ends, alphabet)
+            assert most_uses(seq, places) < repair.LEAST_USES
+            flat = [[i] for i in range(alphabet)]
+            for a, b in rules.tolist():
+                flat.append(flat[a] + flat[b])
+            begin = 0
+            for i, end in enumerate(places.tolist()):
+                assert [x for symbol in seq[begin:end].tolist() for x in flat[symbol]] == ids[ends[i] - sizes[i] : ends[i]].tolist()
+                begin = end
 
 
 def plain_counts(text):
