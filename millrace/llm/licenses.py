@@ -130,22 +130,22 @@ def _once(value: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, value)
 
 
-def _templates(percent: int) -> list[tuple[str, str, int, int, int]]:
+def _templates(percent: int) -> list[tuple[str, str, int, int, int, int]]:
     out = []
     for name, text in TEMPLATES.items():
         own = bigrams(text)
-        out += [(gram, name, len(own), *bounds(len(own), percent)) for gram in own]
+        out += [(gram, name, len(own), *bounds(len(own), percent), i) for i, gram in enumerate(own)]
     return out
 
 
 def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_licenses, licenses (names, comma-joined, in order), best and its coefficient as shared, size and template size."""
     spark = docs.sparkSession
-    index = spark.createDataFrame(_templates(percent), "gram string, license string, t_size int, low int, high int")
+    index = spark.createDataFrame(_templates(percent), "gram string, license string, t_size int, low int, high int, number int")
     low, high = (f(r[i] for r in _templates(percent)) for f, i in ((min, 3), (max, 4)))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Rows with one id and one text have one result; the digest keeps texts of one id apart.
-    docs = docs.withColumn("tag", F.md5("text"))
+    docs = docs.withColumn("tag", F.unhex(F.md5("text")))
     parts = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n[\x20\t\r]*\n"), F.array("text")))
     units = docs.where("text is not null").select("doc_id", "tag", F.posexplode(parts).alias("unit", "part"))
     # With fewer words than the smallest bound has bigrams, nothing can match.
@@ -157,7 +157,7 @@ def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     units = units.select("doc_id", "tag", "unit", _once(grams).alias("grams")).select("doc_id", "tag", "unit", F.size("grams").alias("size"), "grams").where(F.col("size").between(low, high))
     # The index has as many rows as the templates have bigrams: a fixed, small broadcast.
     held = units.select("doc_id", "tag", "unit", "size", F.explode("grams").alias("gram")).join(F.broadcast(index), "gram").where(F.col("size").between(F.col("low"), F.col("high")))
-    shared = held.groupBy("doc_id", "tag", "unit", "size", "license", "t_size").agg(F.countDistinct("gram").alias("shared"))
+    shared = held.groupBy("doc_id", "tag", "unit", "size", "license", "t_size").agg(F.countDistinct("number").alias("shared"))
     found = shared.where(200 * F.col("shared") >= percent * (F.col("size") + F.col("t_size")))
     # Of a document's units, the one nearest to each licence.
     near = F.struct((F.col("shared") / (F.col("size") + F.col("t_size"))).alias("dice"), "shared", "size", "t_size")
