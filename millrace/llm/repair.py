@@ -36,7 +36,7 @@ from . import common
 from .encode import encoder, tokenizer_path
 
 END_ID = 2
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 19
 MAGIC = b"RPG2"
 #: A round replaces the pairs that occur over half as often as the most frequent one, and so many at least; one pair at a time would be plain Re-Pair.
 PAIRS = 4096
@@ -79,8 +79,8 @@ def _chosen(which: np.ndarray, weight: np.ndarray, touch: np.ndarray) -> tuple[n
     return wins, lost
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair of one shard: (symbols, where each document's symbols end, rules of two symbols).
+def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Re-Pair of one shard: (symbols, where each document's symbols end, rules of two symbols, how many ids each rule stands for).
 
     ids holds all documents' ids, ends where each document ends in it; symbols of
     first_symbol or more are rules, in order. The sequence stays in place as a linked list.
@@ -91,8 +91,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.n
     last[ends[ends > 0] - 1] = True
     # Places whose pair may be frequent.
     open_ = ~last
-    if not n:
-        return seq, np.zeros(len(ends), np.int64), np.zeros((0, 2), np.uint32)
+    lengths = np.ones(first_symbol, np.uint32)
     table = np.full(1 << _BITS, -1, np.int32)
     rules: list[np.ndarray] = []
     made = first_symbol
@@ -128,6 +127,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.n
         if not len(at):
             continue
         rules.append(found[enough])
+        lengths = np.concatenate([lengths, lengths[rules[-1] >> np.uint64(32)] + lengths[rules[-1] & np.uint64(0xFFFFFFFF)]])
         right = following[at]
         seq[at] = (np.cumsum(enough) - 1 + made)[which]
         made += int(enough.sum())
@@ -144,7 +144,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int) -> tuple[np.n
     places = np.zeros(len(ends), np.int64)
     places[np.diff(ends, prepend=0) > 0] = closed
     places = np.maximum.accumulate(places) if len(places) else places
-    return seq[~gone], places, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    return seq[~gone], places, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32), lengths[first_symbol:]
 
 
 def _packed(numbers: np.ndarray, bits: int) -> bytes:
@@ -176,16 +176,13 @@ def dump(doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray) -> bytes:
     number = np.zeros(int(own[-1]) + 1 if len(own) else 0, np.uint32)
     number[own] = np.arange(len(own))
     first = len(own)
-    seq, places, rules = compress(number[ids], ends, first)
-    lengths = [1] * first
-    for a, b in rules.tolist():
-        lengths.append(lengths[a] + lengths[b])
-    bits, length_bits = max(1, (first + len(rules)).bit_length()), max(lengths, default=1).bit_length()
+    seq, places, rules, lengths = compress(number[ids], ends, first)
+    bits, length_bits = max(1, (first + len(rules)).bit_length()), int(lengths.max(initial=1)).bit_length()
     known = np.array([d is not None for d in doc_ids], np.uint8)
     head = struct.pack("<4sIIIQBB", MAGIC, len(doc_ids), first, len(rules), len(seq), bits, length_bits)
     return b"".join([
         head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(), known.tobytes(), places.astype("<i8").tobytes(), np.diff(ends, prepend=0).astype("<i8").tobytes(),
-        own.astype("<u4").tobytes(), _packed(rules.ravel(), bits), _packed(np.array(lengths[first:], np.uint32), length_bits), _packed(seq, bits),
+        own.astype("<u4").tobytes(), _packed(rules.ravel(), bits), _packed(lengths, length_bits), _packed(seq, bits),
     ])
 
 
@@ -222,11 +219,13 @@ class Shard:
         self._lengths = lengths
         flat = np.empty(int(lengths.sum()), np.uint32)
         flat[: self.first] = self.own
-        starts, sizes = self._starts.tolist(), lengths.tolist()
-        for i, (a, b) in enumerate(self.rules.tolist()):
-            at = starts[self.first + i]
-            flat[at : at + sizes[a]] = flat[starts[a] : starts[a] + sizes[a]]
-            flat[at + sizes[a] : at + sizes[a] + sizes[b]] = flat[starts[b] : starts[b] + sizes[b]]
+        # Of ascending lengths: a rule's two symbols are shorter than itself.
+        order = np.argsort(self.rule_lengths, kind="stable")
+        sizes, begin = np.unique(self.rule_lengths[order], return_index=True)
+        for size, own in zip(sizes.tolist(), np.split(order, begin[1:])):
+            a, b = self.rules[own, 0], self.rules[own, 1]
+            step, cut = np.arange(size), lengths[a][:, None]
+            flat[self._starts[self.first + own][:, None] + step] = flat[np.where(step < cut, self._starts[a][:, None] + step, self._starts[b][:, None] + step - cut)]
         self._flat = flat
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:

@@ -91,8 +91,8 @@ def test_repair_random_access():
             if b - a > 5:
                 assert shard.ids(i, 2, b - a - 1).tolist() == ids[a + 2 : b - 1].tolist()
     ids = np.tile(np.array([1, 2, 3, 4], "<u4"), 500)
-    seq, _, rules = repair.compress(ids, np.array([2000]), 5)
-    assert len(rules) <= 16 and len(seq) < 12
+    seq, _, rules, lengths = repair.compress(ids, np.array([2000]), 5)
+    assert len(rules) <= 16 and len(seq) < 12 and lengths.max() > 500
 
 
 def most_uses(seq, places):
@@ -117,11 +117,12 @@ def test_repair_goes_on_to_the_end(monkeypatch, pairs):
         for _ in range(12):
             sizes = rng.integers(0, 400, rng.integers(1, 9))
             ids, ends = (rng.zipf(1.3, sizes.sum()) % alphabet).astype("<u4"), np.cumsum(sizes)
-            seq, places, rules = repair.compress(ids, ends, alphabet)
+            seq, places, rules, lengths = repair.compress(ids, ends, alphabet)
             assert most_uses(seq, places) < repair.LEAST_USES
             flat = [[i] for i in range(alphabet)]
             for a, b in rules.tolist():
                 flat.append(flat[a] + flat[b])
+            assert lengths.tolist() == [len(x) for x in flat[alphabet:]]
             begin = 0
             for i, end in enumerate(places.tolist()):
                 assert [x for symbol in seq[begin:end].tolist() for x in flat[symbol]] == ids[ends[i] - sizes[i] : ends[i]].tolist()
