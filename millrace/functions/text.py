@@ -17,12 +17,14 @@ TOKEN = r"\\[A-Za-z]+|[A-Za-z0-9_]+|[^\t\n\x0B\f\r A-Za-z0-9_]"
 COMMAND = r"\\[A-Za-z@]+"
 COORDINATE = r"\([\t\n\x0B\f\r ]*\{?[-+]?[0-9]*\.?[0-9]+\}?[\t\n\x0B\f\r ]*,[\t\n\x0B\f\r ]*\{?[-+]?[0-9]*\.?[0-9]+\}?[\t\n\x0B\f\r ]*\)"
 ENVIRONMENT = r"(?i)\\begin\{(?:tikzpicture|tikz-cd|tikzcd|circuitikz|axis)\}"
+# Ways of reading other files.
 EXTERNAL = (r"\\input\{[^}]+\}", r"\\include\{[^}]+\}", r"\\includegraphics(?:\[[^\]]*\])?\{[^}]+\}")
+# Words that tell of a drawing.
 GEOMETRIC = (
-    "circle rectangle square triangle arrow node edge path curve line axis plot graph diagram label coordinate angle arc grid polygon "
-    "matrix color fill draw shape point segment vector map tree flow"
-).split()
-#: name, pattern, most occurrences allowed
+    "circle", "rectangle", "square", "triangle", "arrow", "node", "edge", "path", "curve", "line", "axis", "plot", "graph", "diagram", "label", "coordinate",
+    "angle", "arc", "grid", "polygon", "matrix", "color", "fill", "draw", "shape", "point", "segment", "vector", "map", "tree", "flow",
+)
+# Name, pattern, most occurrences allowed.
 BAD_PATTERNS = (
     ("repeated_preview_environment", r"\\PreviewEnvironment", 0),
     ("zero_geometric", r"0\.geometric", 0),

@@ -92,7 +92,7 @@ def first_text(messages: Column, role: str) -> Column:
 
 def bare_prompt(text: Column) -> Column:
     """A prompt's own words: without its head, hints, constraints and fence."""
-    own = F.regexp_replace(text, r"(?i)\AGenerate only the TikZ environment body according to the following requirements:\s*", "")
+    own = F.regexp_replace(text, rf"(?i)\A{PROMPT_HEAD.rstrip()}\s*", "")
     own = F.split(own, r"\n\[GEOMETRY HINTS\]|\nOutput constraints:", 2)[0]
     return T.strip(F.regexp_replace(T.strip(own), r"(?i)```latex\s*\z", ""))
 

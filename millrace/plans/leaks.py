@@ -93,12 +93,9 @@ def stage_partition_overlap(spark, sf_dir):
 
 @query()
 def safe_eval_greedy(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumnRenamed("doc_id", "id")
-    grams = L.shingle_rows(docs, "id", F.col("text"), 8, "id")
-    # One document of each gram holds it for all: conflicts grow with the grams, not with their pairs.
-    first = grams.groupBy("gram").agg(F.min("id").alias("taken"))
-    hits = grams.join(first, "gram").where("taken < id").groupBy("taken", "id", "total").agg(F.count(F.lit(1)).alias("n"))
-    return L.ordered_selection(docs, hits.where(F.col("n") / F.col("total") > 0.5).select("taken", F.col("id").alias("later")))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("target"), F.concat_ws(" ", "source", F.col("doc_id").cast("string")).alias("source"))
+    train = table(spark, sf_dir, "benchmark").select(F.col("text").alias("target"), F.lit(None).cast("string").alias("source"))
+    return L.safe_selection(docs, train, texts={"target": (8, 0.5)}, source="source")
 
 
 @query(f"select doc_id, source, {BY_SOURCE} as split from documents")
@@ -129,7 +126,7 @@ def paired_split(spark, sf_dir):
     return both.select("doc_id", "pair.quality", "pair.toxic", "matched")
 
 
-@query(f"with d as (select doc_id, {BY_ID} split, substr(sha256(coalesce(source, '') || chr(10) || text), 1, 16) sample_id, sha256(text) content_hash from documents) select doc_id, sample_id, content_hash from d where split <> 'train'")
+@query("with d as (select doc_id, substr(sha256(coalesce(source, '') || chr(10) || text), 1, 16) sample_id, sha256(text) content_hash from documents) select doc_id, sample_id, content_hash from d")
 def stable_ids(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", S.stable_id(F.coalesce("source", F.lit("")), F.col("text")).alias("sample_id"), F.sha2("text", 256).alias("content_hash"))
 

@@ -33,11 +33,7 @@ def _run(items: str) -> str:
 
 
 _LINES = rf"list_filter(list_transform(regexp_split_to_array(code, '\r\n|[\n\r\x0B\f]'), lambda x: regexp_replace(x, '\A{WS}+|{WS}+\z', '', 'g')), lambda x: x <> '')"
-BAD = [
-    ("repeated_preview_environment", _n(r"\\PreviewEnvironment") + " > 0"), ("zero_geometric", _n(r"0\.geometric") + " > 0"), ("decorations_geometric_loop", _n(r"decorations\.geometric") + " > 5"),
-    ("assistant_usepackage", _n(r"\\usepackage") + " > 0"), ("assistant_documentclass", _n(r"\\documentclass") + " > 0"), ("opening_latex_fence", _n("```latex") + " > 0"),
-    ("repeated_draw_node_excessive", _n(r"\\(?:draw|node|path)") + " > 100"), ("consecutive_backslashes", _n(r"\\{4,}") + " > 0"),
-]
+BAD = [(name, f"{_n(pattern)} > {most}") for name, pattern, most in T.BAD_PATTERNS]
 _ENV = r"regexp_matches(code, '(?i)\\begin\{(?:tikzpicture|tikz-cd|tikzcd|circuitikz|axis)\}')"
 _COORD = r"\([\t\n\x0B\f\r ]*\{?[-+]?[0-9]*\.?[0-9]+\}?[\t\n\x0B\f\r ]*,[\t\n\x0B\f\r ]*\{?[-+]?[0-9]*\.?[0-9]+\}?[\t\n\x0B\f\r ]*\)"
 
@@ -239,7 +235,7 @@ def chat_flatten(spark, sf_dir):
     return own.select("conv_id", F.array_join(F.transform("t", lambda x: F.concat(F.lit("<"), x["role"], F.lit(">"), x["text"])), "\n").alias("flat"))
 
 
-@query(rf"""with {CODES}, f as (select sample_id, 'text ```latex' || chr(10) || source || ' ``` more ```' || code || '```' as t from codes where code not like '%```%')
+@query(rf"""with {CODES}, f as (select sample_id, 'text ```latex' || chr(10) || source || ' ``` more ```' || code || '```' as t from codes)
 select sample_id, regexp_replace(list_extract(regexp_extract_all(t, '(?is)```(?:latex)?[\t\n\x0B\f\r ]*(.*?)```', 1), -1), '\A{WS}+|{WS}+\z', '', 'g') as code from f""")
 def last_fenced_block(spark, sf_dir):
     return codes(spark, sf_dir).select("sample_id", T.last_fence(F.concat(F.lit("text ```latex\n"), "source", F.lit(" ``` more ```"), "code", F.lit("```"))).alias("code"))
@@ -253,11 +249,7 @@ def token_jaccard(spark, sf_dir):
     return own.join(other, "sample_id").select("sample_id", F.round(T.jaccard(F.col("t"), F.col("o")), 6).alias("jaccard"))
 
 
-_KINDS = "list_distinct(list_concat(a.t, b.t))"
-
-
-@query(rf"""with t as (select item_id, list_slice(regexp_extract_all(text, '\\[A-Za-z]+|[A-Za-z0-9_]+|[^\t\n\x0B\f\r A-Za-z0-9_]'), 1, 40) t from benchmark), p as (select a.item_id, a.t x, b.t y, {_KINDS} k from t a join t b on b.item_id = a.item_id + 1)
-select item_id, levenshtein(array_to_string(list_transform(x, lambda v: chr((list_position(k, v) + 32)::int)), ''), array_to_string(list_transform(y, lambda v: chr((list_position(k, v) + 32)::int)), ''))::int as distance from p""")
+@query()
 def token_edit_distance(spark, sf_dir):
     own = table(spark, sf_dir, "benchmark").select("item_id", T.tokens(F.col("text")).alias("t"))
     other = own.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("o"))

@@ -37,15 +37,30 @@ def test_cross_split_and_owners(spark):
     assert {tuple(r) for r in leakage.repeated_keys(df, "key").collect()} == {("a", 2), ("c", 2)}
 
 
-def test_ordered_selection(spark):
+def test_safe_selection(spark):
+    """In order, as one would by hand, with equal texts, passages that many share, and a training side."""
     r = random.Random(1)
-    conflicts = [(a, b) for a in range(40) for b in range(a + 1, 40) if r.random() < 0.1]
-    taken = []
-    for i in range(40):
-        if not any((t, i) in conflicts for t in taken):
+    passages = [[f"w{r.randrange(60)}" for _ in range(r.randint(3, 14))] for _ in range(12)]
+    text = lambda: " ".join(w for _ in range(r.randint(0, 3)) for w in r.choice(passages))
+    rows = [(i, r.choice([text(), text().upper(), "", None, "w1 w2"]), text(), r.choice(["a", "b", None, f"s{i}", f"s{i}", f"s{i // 2}"])) for i in range(120)]
+    rows += [(200 + i, *rows[i][1:3], f"t{i}") for i in range(40)]
+    train = [(text(), "", "s7"), (rows[3][1], text(), None), (None, None, None)]
+    grams = lambda t, n: {tuple(w[i : i + n]) for w in [(t or "").lower().split()] for i in range(len(w) - n + 1)}
+    norm = lambda t: " ".join((t or "").lower().split())
+    sizes, taken, used = {0: (3, 0.4), 1: (2, 0.6)}, [], [(t, p, s) for t, p, s in train]
+    for i, *own in rows:
+        clash = any(own[2] is not None and own[2] == u[2] for u in used)
+        for k, (n, over) in sizes.items():
+            g = grams(own[k], n)
+            clash |= any((norm(own[k]) and norm(own[k]) == norm(u[k])) or (g and len(g & grams(u[k], n)) > over * len(g)) for u in used)
+        if not clash:
             taken.append(i)
-    got = leakage.ordered_selection(spark.range(40), spark.createDataFrame(conflicts, "taken long, later long"))
-    assert sorted(x.id for x in got.collect()) == taken
+            used.append(tuple(own))
+    names = "target string, prompt string, source string"
+    got = leakage.safe_selection(spark.createDataFrame(rows, "id long, " + names), spark.createDataFrame(train, names), texts={"target": (3, 0.4), "prompt": (2, 0.6)}, source="source")
+    assert sorted(x.id for x in got.collect()) == taken and 20 < len(taken) < 110
+    none = spark.createDataFrame([], "id long, " + names)
+    assert leakage.safe_selection(none, none, texts={"target": (3, 0.4)}).count() == 0
 
 
 def test_quotas_and_samples(spark):

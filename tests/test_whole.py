@@ -27,7 +27,7 @@ def test_similarity_of_whole_sets(spark, vectors):
     folder, sets = vectors
     near = {a: sets[a][1] @ sets[a + 1][1].T for a in (0, 1)}
     got = {(r.i, r.j): r.cosine for r in catalog.QUERIES["cosine_pairs"](spark, folder).collect()}
-    expected = {(i, j): near[a][x, y] for a in near for x, i in enumerate(sets[a][0]) for y, j in enumerate(sets[a + 1][0])}
+    expected = {(i, j): near[a][x, y] for a in near for x, i in enumerate(sets[a][0]) if i % 100 == 0 for y, j in enumerate(sets[a + 1][0])}
     assert got.keys() == expected.keys() and max(abs(got[k] - expected[k]) for k in got) < 1e-6
     scores = {(r.a, r.b): r.score for r in catalog.QUERIES["selfsim_by_label"](spark, folder).collect()}
     assert scores == {(a, a + 1): pytest.approx((m.max(1).mean() + m.max(0).mean()) / 2, abs=1e-6) for a, m in near.items()}
