@@ -11,32 +11,37 @@ from pyspark.sql import functions as F
 SEPARATOR, PAD, MOST_BOUNDARIES = 1, 0, 10
 
 
-def assign(lengths: DataFrame, limit: int, shards: int | None = None) -> DataFrame:
+#: Orders that are packed together.
+SPAN = 1_000_000
+
+
+def assign(lengths: DataFrame, limit: int, span: int = SPAN) -> DataFrame:
     """(shard, ord, length, pack, offset) from rows (ord, length).
 
     Next fit is a fold in input order: each sequence, cut to the limit, goes after a separator into the
-    open pack or opens the next. Only (ord, length) pairs reach it. With `shards`, ranges of the
-    order are packed by themselves, each with at most one more pack than one fold would make.
+    open pack or opens the next. Only (ord, length) pairs reach it. A shard is `span` orders from a
+    multiple of it on; shards are packed by themselves, each with at most one more pack than one
+    fold over all would make.
     """
-    rows = lengths.select(F.col("ord").cast("long").alias("ord"), F.least(F.col("length").cast("long"), F.lit(limit)).alias("length"))
-    rows = rows.coalesce(1) if not shards or shards == 1 else rows.repartitionByRange(shards, "ord")
+    own = F.col("ord").cast("long")
+    rows = lengths.select(F.floor(own / span).cast("long").alias("shard"), own.alias("ord"), F.least(F.col("length").cast("long"), F.lit(limit)).alias("length"))
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pack, used, first = 0, 0, None
+        pack, used, last = 0, 0, None
         for part in parts:
             packs, offsets = [], []
-            for length in part["length"]:
+            for shard, length in zip(part["shard"].tolist(), part["length"].tolist(), strict=True):
+                if shard != last:
+                    pack, used, last = 0, 0, shard
                 if used and used + 1 + length > limit:
                     pack, used = pack + 1, 0
                 at = used + 1 if used else 0
                 packs.append(pack)
                 offsets.append(at)
                 used = at + length
-            if first is None and len(part):
-                first = int(part["ord"].iloc[0])
-            yield part.assign(shard=first if first is not None else 0, pack=packs, offset=offsets)[["shard", "ord", "length", "pack", "offset"]]
+            yield part.assign(pack=packs, offset=offsets)[["shard", "ord", "length", "pack", "offset"]]
 
-    return rows.sortWithinPartitions("ord").mapInPandas(fold, "shard long, ord long, length long, pack long, offset long")
+    return rows.repartition("shard").sortWithinPartitions("shard", "ord").mapInPandas(fold, "shard long, ord long, length long, pack long, offset long")
 
 
 def mask(tokens: Column, marker: int) -> Column:

@@ -31,9 +31,55 @@ def stable_id(source: Column, code: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("\n", source, code), 256), 1, 16)
 
 
+#: Ranges into which a global order is cut.
+RANGES = 64
+
+
+def _steps(value: Column, bounds: list[float]) -> Column:
+    """How many of the ascending bounds lie below a value or equal it, by halving."""
+    if not bounds:
+        return F.lit(0)
+    mid = len(bounds) // 2
+    return F.when(value < bounds[mid], _steps(value, bounds[:mid])).otherwise(_steps(value, bounds[mid + 1 :]) + (mid + 1))
+
+
+def ranked(df: DataFrame, order: list[Column], first: Column, second: Column | None = None, by: list[str] | None = None, bounds: list[float] | None = None, name: str = "position") -> DataFrame:
+    """A rank from 0 in the order given, in each group or over all rows, that no single task has to make.
+
+    first and second are numbers that ascend with the order's first two parts. Quantiles of the
+    first cut the order into ranges, and where one value fills whole ranges, quantiles of the second cut
+    it again; a row's rank is its rank in its range and the number of rows in the ranges before.
+    Only quantiles and one count a range and group leave the tasks.
+    """
+    by = by or []
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    if bounds is None:
+        bounds = df.agg(F.percentile_approx(first.cast("double"), cuts, 1000)).first()[0] or []
+    hot = sorted({b for i, b in enumerate(bounds) if i and bounds[i - 1] == b})
+    # Twice the steps, one less at a bound itself: the values that are bounds are ranges of their own.
+    x, steps = first.cast("double"), sorted(set(bounds))
+    at = 2 * _steps(x, steps)
+    slot = at - F.when(x.isin(steps), 1).otherwise(0) if hot else at
+    inner = F.lit(0)
+    if hot and second is not None:
+        rows = df.where(x.isin(hot)).groupBy(x.alias("x")).agg(F.percentile_approx(second.cast("double"), cuts, 1000).alias("q")).collect()
+        for row in rows:
+            inner = F.when(x == row["x"], _steps(second.cast("double"), sorted(set(row["q"])))).otherwise(inner)
+    own = df.withColumn("_slot", F.coalesce(slot, F.lit(-1))).withColumn("_inner", F.coalesce(inner, F.lit(-1)))
+    sizes = own.groupBy(*by, "_slot", "_inner").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*by).orderBy("_slot", "_inner").rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select(*(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), F.col("_slot").alias("_s"), F.col("_inner").alias("_i"), F.coalesce(before, F.lit(0)).alias("_before"))
+    held = (F.col("_slot") == F.col("_s")) & (F.col("_inner") == F.col("_i"))
+    for i, c in enumerate(by):
+        held &= F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    inside = F.row_number().over(W.partitionBy(*by, "_slot", "_inner").orderBy(*order))
+    joined = own.withColumn("_r", inside).join(starts, held)
+    return joined.withColumn(name, (F.col("_before") + F.col("_r") - 1).cast("long")).select(*df.columns, name)
+
+
 def indexed(df: DataFrame, split: str, order: str, name: str = "example_index") -> DataFrame:
-    """A contiguous index from 0 in each split, in input order."""
-    return df.withColumn(name, (F.row_number().over(W.partitionBy(split).orderBy(order)) - 1).cast("long"))
+    """A contiguous index from 0 in each split, in input order (a number)."""
+    return ranked(df, [F.col(order)], F.col(order), by=[split], name=name)
 
 
 def contiguity(df: DataFrame, split: str, index: str) -> DataFrame:
@@ -50,6 +96,7 @@ def paired(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame
 
 
 def _rank(mode: str, key: str, seed: int) -> Column:
+    """A record's place in its mode; with a filter to a fixed number, tasks hand on no more than that many a mode."""
     return F.row_number().over(W.partitionBy(mode).orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), key))
 
 
@@ -59,7 +106,9 @@ def capped(df: DataFrame, mode: str, key: str, caps: dict[str, int | None], seed
     if not given:
         return df
     cap = F.create_map(*(F.lit(x) for pair in given.items() for x in pair))
-    return df.withColumn("_r", _rank(mode, key, seed)).where(F.col("_r") <= F.coalesce(F.try_element_at(cap, F.col(mode)), F.col("_r"))).drop("_r")
+    ruled = F.coalesce(F.col(mode).isin(list(given)), F.lit(False))
+    chosen = df.where(ruled).withColumn("_r", _rank(mode, key, seed)).where((F.col("_r") <= max(given.values())) & (F.col("_r") <= F.try_element_at(cap, F.col(mode)))).drop("_r")
+    return df.where(~ruled).unionByName(chosen)
 
 
 def quotas(counts: dict[str, int], total: int, reserve: int = 0) -> dict[str, int]:
@@ -88,7 +137,7 @@ def equal_sample(df: DataFrame, mode: str, key: str, total: int, seed: int, rese
     if not take:
         return df.limit(0)
     most = F.create_map(*(F.lit(x) for pair in take.items() for x in pair))[F.col(mode)]
-    return df.withColumn("_r", _rank(mode, key, seed)).where(F.col("_r") <= most).drop("_r")
+    return df.withColumn("_r", _rank(mode, key, seed)).where((F.col("_r") <= max(take.values())) & (F.col("_r") <= most)).drop("_r")
 
 
 def disjoint_sets(df: DataFrame, mode: str, key: str, sizes: dict[str, int], seed: int) -> DataFrame:
@@ -103,7 +152,7 @@ def disjoint_sets(df: DataFrame, mode: str, key: str, sizes: dict[str, int], see
 
 def round_robin(df: DataFrame, mode: str, key: str, n: int, seed: int) -> DataFrame:
     """n records, one of each mode in turn as long as the mode has any."""
-    return df.withColumn("_r", _rank(mode, key, seed)).orderBy("_r", mode).limit(n).drop("_r")
+    return df.withColumn("_r", _rank(mode, key, seed)).where(F.col("_r") <= n).orderBy("_r", mode).limit(n).drop("_r")
 
 
 def fixed_sample(df: DataFrame, key: str, order: str, n: int, seed: int) -> DataFrame:
@@ -113,22 +162,25 @@ def fixed_sample(df: DataFrame, key: str, order: str, n: int, seed: int) -> Data
 
 def epoch_order(df: DataFrame, index: str, seed: int, epoch: int) -> DataFrame:
     """(position, index): the order in which an epoch visits the examples."""
-    by = [F.sha2(F.concat(F.lit(f"{seed + epoch}:"), F.col(index).cast("string")), 256), F.col(index)]
-    return df.select((F.row_number().over(W.orderBy(*by)) - 1).cast("long").alias("position"), index)
+    digest = F.sha2(F.concat(F.lit(f"{seed + epoch}:"), F.col(index).cast("string")), 256)
+    # Hashes are even: their ranges are known.
+    first = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double")
+    own = df.select(index, digest.alias("_h"))
+    return ranked(own, [F.col("_h"), F.col(index)], first, bounds=[i * 2.0**32 / RANGES for i in range(1, RANGES)]).select("position", index)
 
 
 def whole_batches(df: DataFrame, order: str, size: int) -> DataFrame:
     """Without the tail that fills no batch."""
-    n = df.count()
-    return df.orderBy(order).limit(n - n % size)
+    rest = df.count() % size
+    # Fewer rows than a batch has.
+    tail = df.select(order).orderBy(F.desc(order)).limit(rest)
+    return df.join(F.broadcast(tail), order, "left_anti").select(*df.columns) if rest else df
 
 
 def bridge(a: DataFrame, b: DataFrame, length: str, order: str) -> DataFrame:
     """The longer half of a and the shorter half of b."""
-    rank, n = F.row_number().over(W.orderBy(length, order)), F.count(F.lit(1)).over(W.partitionBy())
-    late = a.withColumn("_r", rank).withColumn("_n", n).where("_r > _n div 2")
-    early = b.withColumn("_r", rank).withColumn("_n", n).where("_r <= _n div 2")
-    return late.unionByName(early).drop("_r", "_n")
+    late, early = (ranked(df, [F.col(length), F.col(order)], F.col(length), F.col(order), name="_r") for df in (a, b))
+    return late.where(F.col("_r") >= a.count() // 2).unionByName(early.where(F.col("_r") < b.count() // 2)).drop("_r")
 
 
 def apportion(sizes: list[int], total: int, n: int | None = None) -> list[int]:

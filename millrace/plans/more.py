@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -16,7 +15,8 @@ from .records import CODES, codes
 @query("select o_orderkey, row_number() over (order by coalesce(case when o_orderkey % 4 > 0 then o_totalprice end, 1.0), o_orderkey) - 1 as position from orders")
 def curriculum_sort(spark, sf_dir):
     score = F.coalesce(F.when(F.col("o_orderkey") % 4 > 0, F.col("o_totalprice")), F.lit(1.0))
-    return table(spark, sf_dir, "orders").select("o_orderkey", (F.row_number().over(W.orderBy(score, "o_orderkey")) - 1).cast("long").alias("position"))
+    own = table(spark, sf_dir, "orders").select("o_orderkey", score.alias("score"))
+    return S.ranked(own, [F.col("score"), F.col("o_orderkey")], F.col("score"), F.col("o_orderkey")).drop("score")
 
 
 @query("select doc_id from documents order by doc_id limit 40")
@@ -52,8 +52,8 @@ def cleaning_counts(spark, sf_dir):
 def metadata_alignment(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     skipped = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"))
-    kept = labels.join(skipped, "doc_id", "left_anti").withColumn("all", F.lit(0))
-    return S.indexed(kept, "all", "doc_id", "row").select("doc_id", "row", "quality")
+    kept = labels.join(skipped, "doc_id", "left_anti")
+    return S.ranked(kept, [F.col("doc_id")], F.col("doc_id"), name="row").select("doc_id", "row", "quality")
 
 
 @query("with i as (select doc_id, row_number() over (order by sha256('3:' || doc_id), doc_id) - 1 as example_index from documents) select example_index, doc_id as row from i")

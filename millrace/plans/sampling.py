@@ -135,7 +135,7 @@ def pack_assign(spark, sf_dir):
 @query()
 def pack_audit(spark, sf_dir):
     lengths = _lengths(spark, sf_dir).select(F.col("doc_id").alias("ord"), F.col("n").alias("length"))
-    places = K.assign(lengths, 2048, shards=4)
+    places = K.assign(lengths, 2048, span=250)
     return places.groupBy("shard").agg(F.count(F.lit(1)).alias("sequences"), F.count_distinct("pack").alias("packs"), F.sum("length").alias("tokens"))
 
 

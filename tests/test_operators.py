@@ -63,6 +63,21 @@ def test_safe_selection(spark):
     assert leakage.safe_selection(none, none, texts={"target": (3, 0.4)}).count() == 0
 
 
+def test_ranks(spark):
+    """As one sorted list has them, though one value holds most rows and no partition holds all."""
+    r = random.Random(3)
+    rows = [(r.choice("ab"), 7 if r.random() < 0.6 else r.randrange(50), i) for i in r.sample(range(5000), 3000)]
+    df = spark.createDataFrame(rows, "g string, x long, tie long").repartition(7)
+    order = [F.col("x"), F.col("tie")]
+    got = splits.ranked(df, order, F.col("x"), F.col("tie")).collect()
+    assert [(x.g, x.x, x.tie) for x in sorted(got, key=lambda x: x.position)] == sorted(rows, key=lambda x: x[1:]) and sorted(x.position for x in got) == list(range(3000))
+    by = splits.ranked(df, order, F.col("x"), by=["g"], name="n").collect()
+    assert {(x.g, x.tie): x.n for x in by} == {(g, t): n for k in "ab" for n, (g, _, t) in enumerate(sorted((x for x in rows if x[0] == k), key=lambda x: x[1:]))}
+    assert splits.ranked(df.limit(0), order, F.col("x")).count() == 0
+    assert sorted(x.tie for x in splits.whole_batches(df, "tie", 7).collect()) == sorted(x[2] for x in rows)[: 3000 - 3000 % 7]
+    assert sorted(x.position for x in splits.epoch_order(df, "tie", 1, 2).collect()) == list(range(3000))
+
+
 def test_quotas_and_samples(spark):
     assert splits.quotas({"a": 10, "b": 1, "c": 10}, 9) == {"a": 4, "b": 1, "c": 4}
     assert splits.quotas({"plain": 100, "rare": 12}, 20, reserve=10) == {"plain": 18, "rare": 2}
@@ -100,6 +115,8 @@ def test_packing(spark):
         rows = spark.createDataFrame(list(enumerate(lengths)), "ord long, length long")
         got = packing.assign(rows, 10).orderBy("ord").collect()
         assert [(x.pack, x.offset) for x in got] == next_fit(lengths, 10)
+    apart = packing.assign(spark.createDataFrame([(i, 4) for i in range(9)], "ord long, length long"), 10, span=3).orderBy("ord").collect()
+    assert [(x.shard, x.pack, x.offset) for x in apart] == [(i // 3, i % 3 // 2, 5 * (i % 3 % 2)) for i in range(9)]
     tokens = spark.createDataFrame([(0, [5, 9, 6]), (1, [7, 7]), (2, [9, 1, 2, 3])], "ord long, tokens array<int>")
     places = packing.assign(tokens.select("ord", F.size("tokens").alias("length")), 8)
     got = packing.packed(tokens, places, 8, marker=9).orderBy("pack").collect()
