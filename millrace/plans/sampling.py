@@ -126,13 +126,20 @@ def audit_diff(spark, sf_dir):
     return P.audit_diff(own, own.where("n > 300"), "lang", "n")
 
 
-@query()
+_PACKED = f"""with recursive {LENGTHS}, l2 as (select row_number() over (order by doc_id) r, doc_id // {{span}} shard, doc_id ord, least(n, 2048) length from l),
+p as (select r, shard, ord, length, 0::bigint pack, 0::bigint as "offset", length::bigint used from l2 where r = 1
+union all select r, shard, ord, length, pack, "offset", "offset" + length from (select l2.r, l2.shard, l2.ord, l2.length,
+  case when l2.shard <> p.shard then 0 when p.used > 0 and p.used + 1 + l2.length > 2048 then p.pack + 1 else p.pack end pack,
+  case when l2.shard <> p.shard or p.used = 0 or p.used + 1 + l2.length > 2048 then 0 else p.used + 1 end "offset" from p join l2 on l2.r = p.r + 1))"""
+
+
+@query(_PACKED.format(span=1_000_000) + ' select shard, ord, length::bigint as length, pack, "offset" from p')
 def pack_assign(spark, sf_dir):
     lengths = _lengths(spark, sf_dir).select(F.col("doc_id").alias("ord"), F.col("n").alias("length"))
     return K.assign(lengths, 2048)
 
 
-@query()
+@query(_PACKED.format(span=250) + " select shard, count(*) as sequences, count(distinct pack) as packs, sum(length)::bigint as tokens from p group by 1")
 def pack_audit(spark, sf_dir):
     lengths = _lengths(spark, sf_dir).select(F.col("doc_id").alias("ord"), F.col("n").alias("length"))
     places = K.assign(lengths, 2048, span=250)

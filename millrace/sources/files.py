@@ -33,6 +33,12 @@ def read_object(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def read_json_objects(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The objects of a JSON-lines file; blank lines and lines that hold another value, or none, are left out."""
+    lines = spark.read.text(path).where(F.col("value").rlike(r"\A[\t\n\x0B\f\r ]*\{"))
+    return lines.select(F.from_json("value", schema if isinstance(schema, str) else schema.simpleString()).alias("o")).where("o is not null").select("o.*")
+
+
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, text) of whole files below a folder."""
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("wholetext", True).text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
@@ -54,11 +60,49 @@ def write_kept_and_rejected(df: DataFrame, reasons: str, kept: str, rejected: st
     df.where(F.size(reasons) > 0).write.mode("errorifexists").json(rejected)
 
 
-def fingerprint(spark: SparkSession, path: str) -> DataFrame:
+def fingerprint(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, length, sha256) of each file's bytes."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+def names_fingerprint(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row: a digest of all files' names and bytes, in order of names."""
+    files = fingerprint(spark, list(paths)).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length", "sha256")
+    own = F.array_sort(F.collect_list(F.struct("name", "sha256")))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("length"), F.sha2(F.array_join(F.transform(own, lambda x: F.concat(x["name"], F.lit("\n"), x["sha256"])), "\n"), 256).alias("digest"))
+
+
+def write_object(df: DataFrame, path: str) -> None:
+    """A one-row table as one JSON file, by renaming a finished one: readers see the old object or the new one."""
+    rows = df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})).limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("an object is one row")
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, made = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".new")
+    system = target.getFileSystem(conf)
+    out = system.create(made, True)
+    out.write(bytearray(rows[0][0].encode() + b"\n"))
+    out.close()
+    system.delete(target, False)
+    if not system.rename(made, target):
+        raise OSError(f"{path} could not be written")
+
+
+def snapshot(df: DataFrame, path: str) -> DataFrame:
+    """An unchanging copy: written once to a new folder, refused if there is one, and read from there."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_figure(old: DataFrame, spark: SparkSession, path: str, description: str, source: str) -> DataFrame:
+    """Records (sample_id, source, description, code) with the one of a code file added, unless its code is there."""
+    code = T.filled(F.col("text"))
+    new = read_texts(spark, path).select(code.alias("code")).where("code is not null").select(S.stable_id(F.lit(source), F.col("code")).alias("sample_id"), F.lit(source).alias("source"), F.lit(description).alias("description"), "code")
+    hashed = old.select(F.sha2("code", 256).alias("h")).distinct()
+    return old.unionByName(new.join(hashed, F.sha2("code", 256) == F.col("h"), "left_anti"))
+
+
 def row_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: how many rows, and an order-free digest of them."""
     return df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("digest"))

@@ -14,6 +14,36 @@ def deduplicated(stream: DataFrame, key: str, event_time: str | None = None, del
     return stream.dropDuplicates([key]) if event_time is None else stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def appended(stream: DataFrame, key: list[str], folder: str, checkpoint: str) -> DataFrame:
+    """What a stream holds by now, the first row of each key, appended to a folder and read from it.
+
+    A later call with the same folders goes on where this one ended: neither the rows nor the keys seen are forgotten.
+    """
+    stream.dropDuplicates(key).writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(folder)
+
+
+def tallied(stream: DataFrame, by: list[str], value: str, folder: str, checkpoint: str) -> DataFrame:
+    """Running counts and sums of a stream by key, kept as state; each batch replaces the table it reports to."""
+
+    def report(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={number % 2}")
+        batch.sparkSession.createDataFrame([(number % 2,)], "batch int").write.mode("overwrite").json(f"{folder}-last")
+
+    own = stream.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(value), 6).alias("total"))
+    own.writeStream.foreachBatch(report).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    spark = stream.sparkSession
+    last = spark.read.schema("batch int").json(f"{folder}-last").first()[0]
+    return spark.read.schema(own.schema).parquet(f"{folder}/batch={last}")
+
+
+def resynced(marks: DataFrame, state: DataFrame, run: str, n: int) -> DataFrame:
+    """(run, done, epoch, cursor) after a crash: the furthest of the durable state and the marks that were written after it."""
+    both = marks.select(run, F.col("done").cast("long").alias("done")).unionByName(state.select(run, F.col("done").cast("long").alias("done")))
+    own = both.groupBy(run).agg(F.max("done").alias("done"))
+    return own.select(run, "done", F.floor(F.col("done") / n).alias("epoch"), (F.col("done") % n).alias("cursor"))
+
+
 def counted(stream: DataFrame, event_time: str, size: str, slide: str | None = None, by: str | None = None, value: str | None = None, delay: str | None = None) -> DataFrame:
     """Tumbling windows, or sliding ones, with counts and sums."""
     own = stream.withWatermark(event_time, delay) if delay else stream
