@@ -7,26 +7,29 @@ whether it opens a turn, after empty turns put in where needed, or is merged int
 the turn before it. Costs: RELABEL for another role than the row's (UNKNOWN for a
 null or unknown one), MERGE, and INSERT for each empty turn.
 
-Long conversations are cut into blocks of BLOCK turn numbers. Each block's least
-cost from every state to every state is found by itself, the blocks of a conversation
-are joined by a min-plus product over these 5 x 5 numbers, and then each block
-writes its own turns with both its end states known: one huge conversation is
-spread over tasks, and no text but a block's is held.
+Long conversations are cut into blocks of BLOCK turn numbers, and a block of more than
+BLOCK_ROWS rows (a turn number that many rows bear) into parts of so many. Each block's
+least cost from every state to every state is found by itself, in a fold that holds one
+row. The blocks of a conversation are joined by min-plus products over these 4 x 4
+numbers, in two levels of up to FAN blocks; then each block writes its own turns with
+both its end states known: one huge conversation is spread over tasks, and no text but
+a block's is held.
 
 Ties prefer the earlier of: end states in STATES order, then the predecessor state in
 STATES order. Defined results: rows are ordered by turn (null first), then role and
 text, so repeated rows are repeated turns, merged; a null text is empty; null
-conv_ids are one conversation; other columns are ignored; no rows give no rows.
+conv_ids are one conversation; very long texts are written whole; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -37,6 +40,8 @@ STATES = ("start", *ROLES)
 NEXT = {"start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
 RELABEL, UNKNOWN, MERGE, INSERT = 2, 1, 1, 3
 BLOCK = 512
+BLOCK_ROWS = 4096
+FAN = 1024
 FAR = 1 << 40
 RESULT = "conv_id long, turn long, role string, new_role string, action string, inserted array<string>, block_cost long, fragment string"
 
@@ -82,11 +87,19 @@ def _costs(role: str | None) -> np.ndarray:
     return _STEP + _LABELS[own if own in ROLES else ""]
 
 
-def transfer(roles: list[str | None]) -> np.ndarray:
+_ONE = np.where(np.eye(4, dtype=bool), 0, FAR)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least cost from each state to each state, first over one stretch and then over another."""
+    return np.minimum((a[:, :, None] + b[None]).min(1), FAR)
+
+
+def transfer(roles: Iterable[str | None]) -> np.ndarray:
     """Least cost from each state to each state over a block of turns."""
-    out = np.where(np.eye(4, dtype=bool), 0, FAR)
+    out = _ONE
     for role in roles:
-        out = np.minimum((out[:, :, None] + _costs(role)[None]).min(1), FAR)
+        out = product(out, _costs(role))
     return out
 
 
@@ -151,31 +164,70 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], rest: tupl
 
 
 def _transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out = [(*key, transfer([r for (r,) in rows]).ravel().tolist()) for key, rows in _blocks(batches, ("conv_id", "block"), ("role",))]
-    for at in range(0, len(out), 10_000):
-        a, b, c = zip(*out[at : at + 10_000], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(pa.int64()))], ["conv_id", "block", "costs"])
+    """Each block's least costs, from its rows in order; a batch's finished blocks at a time."""
+    key, cost, out = None, _ONE, []
 
+    def made() -> pa.RecordBatch:
+        conv, block, part, costs = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(block, pa.int64()), pa.array(part, pa.int64()), pa.array(costs, pa.list_(pa.int64()))], ["conv_id", "block", "part", "costs"])
 
-def join_blocks(costs: list[np.ndarray]) -> list[tuple[int, int | None]]:
-    """(start, end) state of each block of one conversation; the last one's end is None, free."""
-    reach = [np.array([0, FAR, FAR, FAR])]
+    for batch in batches:
+        for *own, role in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "block", "part", "role")), strict=True):
+            if own != key:
+                if key is not None:
+                    out.append((*key, cost.ravel().tolist()))
+                key, cost = own, _ONE
+            cost = product(cost, _costs(role))
+        if out:
+            yield made()
+            out.clear()
+    if key is not None:
+        out.append((*key, cost.ravel().tolist()))
+        yield made()
+
+
+def join_blocks(costs: list[np.ndarray], start: int = 0, end: int | None = None) -> list[tuple[int, int | None]]:
+    """(start, end) state of each of some blocks in a row, from a start to an end; end None is free, with the cost of ending."""
+    first = np.full(4, FAR)
+    first[start] = 0
+    reach = [first]
     for m in costs:
         reach.append(np.minimum((reach[-1][:, None] + m).min(0), FAR))
-    at = int((reach[-1] + _ENDS).argmin())
+    at = int((reach[-1] + _ENDS).argmin()) if end is None else end
     out: list[tuple[int, int | None]] = []
     for before, m in zip(reach[-2::-1], costs[::-1], strict=True):
-        start = int((before + m[:, at]).argmin())
-        out.append((start, at))
-        at = start
+        here = int((before + m[:, at]).argmin())
+        out.append((here, at))
+        at = here
     out.reverse()
-    return [*out[:-1], (out[-1][0], None)]
+    return [*out[:-1], (out[-1][0], end)]
+
+
+def _matrices(rows: pd.DataFrame) -> list[np.ndarray]:
+    return [np.array(c, np.int64).reshape(4, 4) for c in rows["costs"]]
+
+
+def _group_costs(rows: pd.DataFrame) -> pd.DataFrame:
+    """A group's product."""
+    rows, out = rows.sort_values("place", kind="stable"), _ONE
+    for m in _matrices(rows):
+        out = product(out, m)
+    return pd.DataFrame({"conv_id": rows["conv_id"].astype("Int64").iloc[:1], "fan": rows["fan"].iloc[:1], "costs": [out.ravel().tolist()]})
+
+
+def _group_ends(rows: pd.DataFrame) -> pd.DataFrame:
+    """The end states of a conversation's groups."""
+    rows = rows.sort_values("fan", kind="stable")
+    ends = join_blocks(_matrices(rows))
+    return pd.DataFrame({"conv_key": rows["conv_id"].astype("Int64").to_numpy(), "fan_key": rows["fan"].to_numpy(), "start": [s for s, _ in ends], "end": [-1 if e is None else e for _, e in ends]})
 
 
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("block", kind="stable")
-    ends = join_blocks([np.array(c, np.int64).reshape(4, 4) for c in rows["costs"]])
-    return pd.DataFrame({"conv_key": rows["conv_id"].to_numpy(), "block_key": rows["block"].to_numpy(), "start": [s for s, _ in ends], "end": [-1 if e is None else e for _, e in ends]})
+def _block_ends(rows: pd.DataFrame) -> pd.DataFrame:
+    """The end states of a group's blocks."""
+    rows = rows.sort_values("place", kind="stable")
+    last = int(rows["end"].iloc[0])
+    ends = join_blocks(_matrices(rows), int(rows["start"].iloc[0]), None if last < 0 else last)
+    return pd.DataFrame({"conv_key": rows["conv_id"].astype("Int64").to_numpy(), "block_key": rows["block"].to_numpy(), "part_key": rows["part"].to_numpy(), "start": [s for s, _ in ends], "end": [-1 if e is None else e for _, e in ends]})
 
 
 def _writer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -186,7 +238,7 @@ def _writer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
             types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.int64(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], [x.split()[0] for x in RESULT.split(", ")])
 
-        for (conv, _, start, end), rows in _blocks(batches, ("conv_id", "block", "start", "end"), ("turn", "role", "text")):
+        for (conv, _, _, start, end), rows in _blocks(batches, ("conv_id", "block", "part", "start", "end"), ("turn", "role", "text")):
             made, total = written([(r, t) for _, r, t in rows], start, None if end < 0 else end, closes=end < 0)
             held += [(conv, turn, role, *m[:3], total, m[3]) for (turn, role, _), m in zip(rows, made, strict=True)]
             if len(held) >= 1000:
@@ -208,15 +260,31 @@ def repair(turns: DataFrame) -> DataFrame:
     common.prepare(turns.sparkSession)
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 60))))
-    order = ["conv_id", "block", "turn", "role", "text"]
-    costs = rows.repartition("conv_id", "block").sortWithinPartitions(*order).select("conv_id", "block", "role").mapInArrow(_transfers, "conv_id long, block long, costs array<long>")
+    # Blocks of too many rows are cut by rank; there are few such blocks, if any.
+    big = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK_ROWS)
+    big = common.keep(big.select(F.col("conv_id").alias("big_id"), F.col("block").alias("big_block")), "big")
+    if big.isEmpty():
+        rows = rows.withColumn("part", F.lit(0).cast("long"))
+    else:
+        same = rows["conv_id"].eqNullSafe(big["big_id"]) & (rows["block"] == big["big_block"])
+        rank = F.row_number().over(W.partitionBy("conv_id", "block").orderBy("turn", "role", "text"))
+        cut = rows.join(big, same, "left_semi").withColumn("part", F.floor((rank - 1) / BLOCK_ROWS))
+        rows = rows.join(big, same, "left_anti").withColumn("part", F.lit(0).cast("long")).union(cut)
+    order = ["conv_id", "block", "part", "turn", "role", "text"]
+    costs = rows.repartition("conv_id", "block", "part").sortWithinPartitions(*order).select("conv_id", "block", "part", "role").mapInArrow(_transfers, "conv_id long, block long, part long, costs array<long>")
     costs = common.keep(costs, "blocks")
-    many = costs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    many = costs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("conv_id", "many_id")
     # Only conversations of several blocks; a row of 16 numbers for each block.
-    ends = costs.join(many, costs["conv_id"].eqNullSafe(many["conv_id"]), "left_semi").groupBy("conv_id").applyInPandas(_joined, "conv_key long, block_key long, start int, end int")
-    same = rows["conv_id"].eqNullSafe(ends["conv_key"]) & (rows["block"] == ends["block_key"])
-    placed = rows.join(ends, same, "left").select("conv_id", "block", F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("end", F.lit(-1)).alias("end"), "turn", "role", "text")
-    return placed.repartition("conv_id", "block").sortWithinPartitions(*order).mapInArrow(_writer(), RESULT)
+    place = F.row_number().over(W.partitionBy("conv_id").orderBy("block", "part")) - 1
+    placed = costs.join(many, costs["conv_id"].eqNullSafe(many["many_id"]), "left_semi").withColumn("place", place.cast("long")).withColumn("fan", F.floor(F.col("place") / FAN))
+    placed = common.keep(placed, "places")
+    groups = placed.groupBy("conv_id", "fan").applyInPandas(_group_costs, "conv_id long, fan long, costs array<long>")
+    bounds = groups.groupBy("conv_id").applyInPandas(_group_ends, "conv_key long, fan_key long, start int, end int")
+    inner = placed.join(bounds, placed["conv_id"].eqNullSafe(bounds["conv_key"]) & (placed["fan"] == bounds["fan_key"])).drop("conv_key", "fan_key")
+    ends = common.keep(inner.groupBy("conv_id", "fan").applyInPandas(_block_ends, "conv_key long, block_key long, part_key long, start int, end int"), "ends")
+    same = rows["conv_id"].eqNullSafe(ends["conv_key"]) & (rows["block"] == ends["block_key"]) & (rows["part"] == ends["part_key"])
+    known = rows.join(ends, same, "left").select("conv_id", "block", "part", F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("end", F.lit(-1)).alias("end"), "turn", "role", "text")
+    return known.repartition("conv_id", "block", "part").sortWithinPartitions(*order).mapInArrow(_writer(), RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ sequence crosses documents and none needs padding; sequences of one length form
 a bucket from which equal-length batches are drawn.
 
 Defined results: a null or empty text is a document of the end id alone, one
-piece of length 1; repeated rows are packed each by itself; columns beyond
+piece of length 1; a very long text is encoded whole and cut; there are no ties; repeated rows are packed each by itself; columns beyond
 doc_id and text are ignored; an empty table gives no rows. Documents are cut
 where they are read: no shuffle, and a task holds one batch of texts.
 """

@@ -7,8 +7,9 @@ emitted as one ordered Spark conditional expression over the statistics.
 
 Defined results: a null or empty text has zero words and fails the base rules;
 rows with a null label are no examples; without labelled rows of both classes
-the list is empty and keeps what passes the base rules; repeated rows each get
-the same verdict; columns other than doc_id and text are carried along or ignored.
+the list is empty and keeps what passes the base rules; of several texts of a labelled
+id the one of the least counts is fitted; of tests of one gain the first by feature and
+bound is taken; very long texts are counted whole; repeated rows each get the same verdict; columns other than doc_id and text are carried along or ignored.
 """
 
 from __future__ import annotations
@@ -276,10 +277,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[Ru
     )
     # At most fit_rows ids of 8 bytes: a proven bound for the broadcast.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted), "doc_id")
-    stats = statistics(rows.select("doc_id", "text")).join(F.broadcast(wanted), "doc_id").where(~base_failed()).toPandas()
+    one = statistics(rows.select("doc_id", "text")).where(~base_failed()).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("s")).select("doc_id", "s.*")
+    stats = one.join(F.broadcast(wanted), "doc_id").toPandas()
     if not len(stats):
         return []
-    stats = stats.drop_duplicates().sort_values(["doc_id", *COUNTS], kind="stable")
+    stats = stats.sort_values(["doc_id", *COUNTS], kind="stable")
     key = mix(stats["doc_id"].to_numpy().astype(np.uint64))
     stats = stats.iloc[np.argsort(key, kind="stable")]
     bad = stats["quality"].to_numpy() == 0

@@ -12,7 +12,8 @@ quadratic in those weights, and mentions of groups end up without weight of thei
 Labels, lang, source and doc_id are never inputs of a score.
 
 Defined results: null and empty texts get the model's bias; rows with a null label
-are no examples; of several labels for an id the largest counts; without examples of
+are no examples; of several labels for an id the largest counts, of several texts one;
+very long texts are read whole; a score of 0.5 is toxic; without examples of
 both classes every score is the rate of the one class (0 without any); repeated rows
 score alike; other columns are ignored; an empty table gives no rows.
 """
@@ -153,7 +154,7 @@ def _descend(owner: np.ndarray, column: np.ndarray, weight: np.ndarray, toxic: n
     for _ in range(STEPS):
         logit = np.bincount(owner, weights=v[column], minlength=n) + vb
         error = weight * (1 / (1 + np.exp(-np.clip(logit, -35, 35))) - toxic)
-        slope = np.bincount(column, weights=error[owner], minlength=m + 1)
+        slope = np.bincount(column, weights=error[owner], minlength=m + 1).astype(np.float64)
         change = 2 * pay * (v[into] - v[out])
         slope += np.bincount(into, weights=change, minlength=m + 1) - np.bincount(out, weights=change, minlength=m + 1)
         new = v - step * slope
@@ -193,7 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
     # At most fit_rows ids: a proven bound for the broadcast.
     ids = docs.sparkSession.createDataFrame([(i,) for i in answers], "doc_id long")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
-    rows = texts.mapInArrow(_featured, "doc_id long, features array<int>").toArrow()
+    # One text an id: of several, the one of the least features.
+    rows = texts.mapInArrow(_featured, "doc_id long, features array<int>").groupBy("doc_id").agg(F.min("features").alias("features")).toArrow()
     ids = rows.column("doc_id").to_pylist()
     order = sorted(range(len(ids)), key=ids.__getitem__)
     found = [np.array(rows.column("features")[i].as_py(), np.int64) for i in order]

@@ -7,7 +7,8 @@ WARC-Refers-To, keep its target URI and date, and carry its payload digest next
 to digests of their own. Record ids are derived from the content, so a task that
 runs again makes the same records.
 
-Defined results: null html is an empty payload, null url an empty URI; pages that
+Defined results: very long pages are parsed whole, a batch of pages at a time; equal pages
+under one id make equal records, there are no other ties; null html is an empty payload, null url an empty URI; pages that
 repeat keep their records, ids and all; a record that cannot be parsed raises; extra
 columns are ignored; an empty table gives no rows. All work is per row: no shuffle.
 """

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from itertools import combinations, product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import chat, neardup, warc
+from millrace.llm.encode import Encoder, tokenizer_path
 from millrace.llm.links import components
 
 from .samples import no_docs, odd_docs, odd_texts, prose
@@ -132,16 +135,14 @@ def test_role_repair_is_cheapest(spark):
         assert LEGAL.fullmatch("".join(x.fragment for x in own)), "".join(x.fragment for x in own)
 
 
-def test_blocks_of_a_huge_conversation(spark):
+def test_blocks_of_a_huge_conversation(spark, monkeypatch):
     r = random.Random(6)
     roles = [r.choice(["user", "assistant", "system", "bot"]) for _ in range(300)]
     table = spark.createDataFrame([(7, t, role, str(t)) for t, role in enumerate(roles)] + [(8, 0, "user", "x"), (None, None, None, None)], "conv_id long, turn long, role string, text string")
     whole, total = chat.path(roles, 0, None)
-    old, chat.BLOCK = chat.BLOCK, 16
-    try:
-        rows = chat.repair(table).collect()
-    finally:
-        chat.BLOCK = old
+    monkeypatch.setattr(chat, "BLOCK", 16)
+    monkeypatch.setattr(chat, "FAN", 3)
+    rows = chat.repair(table).collect()
     own = sorted((x for x in rows if x.conv_id == 7), key=lambda x: x.turn)
     costs = {x.turn // 16: x.block_cost for x in own}
     assert len(own) == 300 and sum(costs.values()) == total and len(whole) == 300
@@ -151,6 +152,20 @@ def test_blocks_of_a_huge_conversation(spark):
     assert chat.repair(table.limit(0)).count() == 0
 
 
+def test_blocks_of_one_turn_number(spark, monkeypatch):
+    """A conversation without an id whose rows nearly all bear one turn number, in parts."""
+    r = random.Random(8)
+    turns = sorted([(5, r.choice(["assistant", "bot", "system", "user"]), f"{i:03d}") for i in range(200)] + [(5, "user", "x" * 50_000)] * 3 + [(1, "user", "a"), (9, "tool", "z")])
+    _, total = chat.path([role for _, role, _ in turns], 0, None)
+    monkeypatch.setattr(chat, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(chat, "FAN", 4)
+    rows = chat.repair(spark.createDataFrame([(None, *t) for t in turns] + [(1, 0, "user", "q")], "conv_id long, turn long, role string, text string").repartition(3)).collect()
+    own = [x for x in rows if x.conv_id is None]
+    assert len(own) == len(turns) and len(rows) == len(turns) + 1
+    inserts = sum(len(x.inserted) for x in own)
+    cost = sum(chat.MERGE * ("merge" in x.action) + (0 if "relabel" not in x.action else chat.RELABEL if x.role in chat.ROLES else chat.UNKNOWN) for x in own) + chat.INSERT * inserts
+    assert cost == total
+
 def test_warc_derivatives(spark):
     html = '<html lang="FR"><head><title>A &amp; B</title><style>p{}</style><script>var t="</p>";</script></head><body><h1>H &lt;1&gt;</h1><p>one <b>two</b><br>three</p><!-- no --><a href="/x">é</a></body></html>'
     pages = spark.createDataFrame([(1, "http://a.b/c d", html), (2, None, None), (3, "u", "<<a <script>never closed"), (4, "u", "plain & <"), (1, "http://a.b/c d", html)], "page_id long, url string, html string")
@@ -197,7 +212,17 @@ def test_pipeline_stages(spark, tmp_path):
     second = {i for i in first if root[i] == i}
     assert kept == [first, second, second - {62}, second - {62}]
     assert now.where("contains(text, 'abcdef1234567890')").isEmpty() and now.where("doc_id = 63 and contains(text, '[secret]')").count() == 1
-    result = P.run(spark, str(tmp_path))
-    assert {r.doc_id for r in result.select("doc_id").distinct().collect()} == kept[-1]
+    result = P.run(spark, str(tmp_path)).collect()
+    # Its pieces hold each kept text's ids, masked, and the end id, each once.
+    masked = {r.doc_id: r.text for r in now.collect()}
+    assert masked[63] == texts[63].replace('token = "abcdef1234567890', "[secret]") and all(masked[i] == texts[i] for i in masked if i != 63)
+    tokenizer, expected = Encoder(tokenizer_path()), set()
+    for i, text in masked.items():
+        ids, at = [*tokenizer.whole(text).tolist(), 0], 0
+        for bit in [1024] * (len(ids) // 1024) + [1 << k for k in range(9, -1, -1) if len(ids) % 1024 >> k & 1]:
+            expected.add((i, at, bit, zlib.crc32(np.array(ids[at : at + bit], "<u4").tobytes()), len(ids), 0))
+            at += bit
+    assert {(r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens, r.offset) for r in result} == expected and {r[0] for r in expected} == kept[-1]
+    assert len({r.sequence_id for r in result}) == len(result) == len(expected)
     for _, stage in P.STAGES:
         assert stage(spark, no_docs(spark), str(tmp_path)).count() == 0
