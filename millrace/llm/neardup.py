@@ -30,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +44,8 @@ ROWS = 2 * HASHES // BANDS
 #: Most members and bytes of shingle sets of a block; two blocks are compared at once.
 BLOCK = 256
 BLOCK_BYTES = 4 << 20
-#: Bytes of shingle sets that are sent to one hub at once.
+#: Most members, and bytes of their shingle sets, that are held against one hub in one place.
+STAR = 512
 STAR_BYTES = 32 << 20
 #: Up to so many candidate ids or keys (24 bytes each) are broadcast; beyond it they are joined.
 BROADCAST_IDS = 200_000
@@ -149,44 +149,66 @@ def _star_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return confirm
 
 
-def _block_links(percent: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    """Links between different components among one pair of blocks, thinned to those that join something."""
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one, two = int(key[1]), int(key[2])
-        rows = rows.sort_values("rid", kind="stable")
-        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
-        ids, comp, block = rows["rid"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        sizes = np.array([len(x) for x in sets])
-        every, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        order = np.argsort(inverse, kind="stable")
-        posts, begin = owner[order], np.searchsorted(inverse[order], np.arange(len(every) + 1))
-        at = np.cumsum(sizes) - sizes
-        parent = {int(c): int(c) for c in comp}
-
-        def root(c: int) -> int:
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-
-        out = []
-        for i in np.flatnonzero(block == one):
-            own = inverse[at[i] : at[i] + sizes[i]]
-            lengths = begin[own + 1] - begin[own]
-            ends = np.cumsum(lengths)
-            near = posts[np.repeat(begin[own] - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
-            both = np.bincount(near, minlength=len(sets))
-            good = (100 * both >= percent * (sizes + sizes[i] - both)) & (block == two) & (comp != comp[i])
-            if one == two:
-                good[: i + 1] = False
-            for j in np.flatnonzero(good):
-                x, y = root(int(comp[i])), root(int(comp[j]))
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-                    out.append((ids[i], ids[j]))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+def _across(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between members of `left` and of `right` that lie in different components, thinned to those that join something."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    ranked = flat[order]
+    number = np.empty(len(flat), np.int64)
+    number[order] = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))
+    posts, begin = owner[order], np.searchsorted(number[order], np.arange(number[order[-1]] + 2))
+    at = np.cumsum(sizes) - sizes
+    parent = {int(c): int(c) for c in comp}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = []
+    for i in np.flatnonzero(left):
+        own = number[at[i] : at[i] + sizes[i]]
+        lengths = begin[own + 1] - begin[own]
+        ends = np.cumsum(lengths)
+        near = posts[np.repeat(begin[own] - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
+        both = np.bincount(near, minlength=len(sets))
+        good = (100 * both >= percent * (sizes + sizes[i] - both)) & right & (comp != comp[i])
+        for j in np.flatnonzero(good):
+            x, y = root(int(comp[i])), root(int(comp[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def _block_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links (a, b) across components of rows sorted by (hub, one, two), a group of which is a pair of blocks."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, out = None, [], []
+
+        def close() -> None:
+            if len(rows) < 2 or len({c for _, _, c, _ in rows}) < 2:
+                return
+            block, ids, comp = (np.array([r[i] for r in rows]) for i in range(3))
+            out.extend(_across(ids, comp, [r[3] for r in rows], block == key[1], block == key[2], percent))
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("hub", "one", "two", "block", "rid", "component")]
+            for hub, one, two, block, rid, component, shingles in zip(*columns, batch.column("shingles"), strict=True):
+                if (hub, one, two) != key:
+                    close()
+                    key, rows = (hub, one, two), []
+                rows.append((block, rid, component, np.frombuffer(shingles.as_py(), np.uint64)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+                out.clear()
+        close()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
     return compare
 
@@ -199,7 +221,7 @@ def _few(df: DataFrame) -> DataFrame:
 def _stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members and their hubs: (a, b)."""
     stars = members.where(f"rid <> hub and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select(F.col("hub").alias("a"), F.col("rid").alias("b"), "n").distinct()
-    parts = stars.groupBy("a").agg(F.ceil(8 * F.sum("n") / STAR_BYTES).cast("int").alias("parts"))
+    parts = stars.groupBy("a").agg(F.greatest(F.ceil(8 * F.sum("n") / STAR_BYTES), F.ceil(F.count(F.lit(1)) / STAR)).cast("int").alias("parts"))
     others = stars.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b").join(sets.withColumnRenamed("rid", "b"), "b")
     hubs = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b")).join(sets.withColumnRenamed("rid", "a"), "a")
     rows = hubs.select("a", "part", "b", "shingles").union(others.select("a", "part", "b", "shingles"))
@@ -219,7 +241,7 @@ def _blocks(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = placed.withColumn("block", F.when(F.col("in_bulk"), F.pmod(place, F.col("p"))).otherwise(F.col("p") + F.pmod(place, F.col("q"))).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.when(F.col("in_bulk"), F.col("p")).otherwise(0), F.col("p") + F.col("q") - 1)))
     rows = placed.join(sets, "rid").select("hub", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "rid", "component", "shingles")
-    return rows.groupBy("hub", "one", "two").applyInPandas(_block_links(percent), "a long, b long")
+    return rows.repartition("hub", "one", "two").sortWithinPartitions("hub", "one", "two", "rid").mapInArrow(_block_links(percent), "a long, b long")
 
 
 def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
