@@ -23,7 +23,7 @@ def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that Python's memory does not depend on the partition."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
