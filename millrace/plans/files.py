@@ -36,10 +36,14 @@ def ingest(spark, sf_dir):
     return Files.ingest(_raw(spark, sf_dir)).select("sample_id", "ord", "token_length")
 
 
-@query("select count(*) n, bit_xor(doc_id) as digest from documents")
+@query("select count(*) n, sum(doc_id)::bigint as ids, min(doc_id) as first, max(doc_id) as last, true as stable from documents")
 def dataset_fingerprint(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.agg(F.count(F.lit(1)).alias("n"), F.bit_xor("doc_id").alias("digest"))
+    # The digest is Spark's own: what is compared is that it does not depend on the order of rows or on partitions.
+    again = Files.row_fingerprint(docs.repartition(7, "source"), docs.columns).select(F.col("n").alias("m"), F.col("digest").alias("other"))
+    sums = docs.agg(F.sum("doc_id").alias("ids"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    one = Files.row_fingerprint(docs, docs.columns)
+    return one.join(again, one["n"] == again["m"]).join(F.broadcast(sums)).select("n", "ids", "first", "last", (F.col("digest") == F.col("other")).alias("stable"))
 
 
 @query("with m as (select min(doc_id) l, max(doc_id) h from documents), b as (select floor((doc_id - l) * 1024 / (h - l + 1))::int b, sha256(string_agg(doc_id, chr(10) order by doc_id) || chr(10)) d from documents, m group by 1) select sha256(string_agg(d, chr(10) order by b)) as digest from b")
@@ -63,23 +67,6 @@ def jsonl_round_trip(spark, sf_dir):
     return read_jsonl(spark, path, "doc_id long, lang string, n_chars long")
 
 
-@query("select i.range as row, case i.range % 3 when 0 then 'line' when 1 then 'circle' else 'grid' end as family, case i.range % 3 when 0 then '\\draw (0,0) -- (' || (1 + i.range // 3 % 5) || ',' || (1 + i.range // 3 % 4) || ');' when 1 then '\\draw (0,0) circle (' || (1 + i.range // 3 % 3) || ');' else '\\draw[step=1] (0,0) grid (' || (2 + i.range // 3 % 4) || ',2);' end as code from range(90) i".replace("\\\\", "\\"))
-def generated_primitives(spark, sf_dir):
-    n = F.floor(F.col("id") / 3)
-    size = lambda low, k: (low + n % k).cast("string")
-    line = F.concat(F.lit("\\draw (0,0) -- ("), size(1, 5), F.lit(","), size(1, 4), F.lit(");"))
-    circle = F.concat(F.lit("\\draw (0,0) circle ("), size(1, 3), F.lit(");"))
-    grid = F.concat(F.lit("\\draw[step=1] (0,0) grid ("), size(2, 4), F.lit(",2);"))
-    pick = lambda a, b, c: F.when(F.col("id") % 3 == 0, a).when(F.col("id") % 3 == 1, b).otherwise(c)
-    return spark.range(90).select(F.col("id").alias("row"), pick(F.lit("line"), F.lit("circle"), F.lit("grid")).alias("family"), pick(line, circle, grid).alias("code"))
-
-
-@query("select t.k as kind, i.range as copy from (values ('fence', 3), ('brace', 2), ('loop', 8)) t(k, w), range(8) i where i.range < t.w")
-def weighted_repairs(spark, sf_dir):
-    kinds = spark.createDataFrame([("fence", 3), ("brace", 2), ("loop", 8)], "kind string, w int")
-    return kinds.select("kind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("w").cast("long") - 1)).alias("copy"))
-
-
 @query()
 def normalize_target(spark, sf_dir):
     ship(spark)
