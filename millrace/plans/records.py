@@ -6,6 +6,9 @@ text operator finds something to do on the test tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +38,24 @@ SNIPPETS = (
 )
 
 
+_documents = False
+
+
+@contextmanager
+def over_documents() -> Iterator[None]:
+    """While it lasts, `codes` are the texts of documents."""
+    global _documents
+    _documents = True
+    try:
+        yield
+    finally:
+        _documents = False
+
+
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample_id, source, ord, code)"""
+    if _documents:
+        return spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("sample_id"), "source", F.col("doc_id").alias("ord"), F.col("text").alias("code"))
     parts = [F.when(F.col("p_partkey") % m == r, s).otherwise("") for m, r, s in SNIPPETS]
     return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("sample_id"), F.col("p_brand").alias("source"), F.col("p_partkey").alias("ord"), F.concat(*parts).alias("code"))
 
@@ -49,3 +68,5 @@ def _quoted(text: str) -> str:
 CODES = "codes as (select p_partkey as sample_id, p_brand as source, p_partkey as ord, " + " || ".join(
     f"case when p_partkey % {m} = {r} then {_quoted(s)} else '' end" for m, r, s in SNIPPETS
 ) + " as code from part)"
+#: Texts of documents in their place.
+DOCUMENT_CODES = "codes as (select doc_id as sample_id, source, doc_id as ord, text as code from documents)"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import profiles as P
+from ..operators import records as R
 from .base import query, table
 from .records import CODES, codes
 
@@ -217,9 +218,12 @@ def roles(turns):
     return own.select("conv_id", F.array_join("u", "\n").alias("user"), F.array_join("a", "\n").alias("assistant"), F.size("u").cast("long").alias("n_user"), F.size("a").cast("long").alias("n_assistant"))
 
 
-@query(f"with {_ROLES} select conv_id, sha256(u) as user_hash, sha256(a) as assistant_hash, nu as n_user, na as n_assistant from r")
+@query("""with m as (select conv_id, list(text order by turn) t, string_agg(text, chr(10) order by turn) filter (role = 'user') u, string_agg(text, chr(10) order by turn) filter (role = 'assistant') a from conversations group by 1)
+select conv_id, sha256(coalesce(u, t[1], '')) as user_hash, sha256(coalesce(a, t[2], '')) as assistant_hash, len(t) > 0 as some from m""")
 def role_text(spark, sf_dir):
-    return roles(table(spark, sf_dir, "conversations")).select("conv_id", F.sha2("user", 256).alias("user_hash"), F.sha2("assistant", 256).alias("assistant_hash"), "n_user", "n_assistant")
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    own = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("m"))
+    return own.select("conv_id", F.sha2(R.of_role(F.col("m"), "user", 0), 256).alias("user_hash"), F.sha2(R.of_role(F.col("m"), "assistant", 1), 256).alias("assistant_hash"), (F.size("m") > 0).alias("some"))
 
 
 @query(f"with {_ROLES} select conv_id, " + _list(("user_count_not_one", "nu <> 1"), ("assistant_count_not_one", "na <> 1"), ("opening_latex_fence_count", _n("```latex", "u") + " <> 1"), ("closing_fence_count", _n("```", "a") + " <> 1"), ("assistant_env_start", r"not regexp_matches(a, '(?i)\A[\t\n\x0B\f\r ]*\\begin\{(?:tikzpicture|tikz-cd|tikzcd|circuitikz|axis|tikzpicture\*)\}')")) + " as violations from r")
@@ -230,9 +234,12 @@ def conversation_contract(spark, sf_dir):
 
 @query("select conv_id, string_agg('<' || role || '>' || text, chr(10) order by turn) as flat from conversations group by 1")
 def chat_flatten(spark, sf_dir):
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    # Content in typed parts: the text, in two of them, and an image.
+    part = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
+    content = F.array(part("text", F.substring("text", 1, 5)), part("image", F.lit("x")), part("text", F.expr("substring(text, 6)")))
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", content.alias("content"))))
     own = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("t"))
-    return own.select("conv_id", F.array_join(F.transform("t", lambda x: F.concat(F.lit("<"), x["role"], F.lit(">"), x["text"])), "\n").alias("flat"))
+    return own.select("conv_id", F.array_join(F.transform(R.flattened(F.col("t")), lambda x: F.concat(F.lit("<"), x["role"], F.lit(">"), x["text"])), "\n").alias("flat"))
 
 
 @query(rf"""with {CODES}, f as (select sample_id, 'text ```latex' || chr(10) || source || ' ``` more ```' || code || '```' as t from codes)
