@@ -138,16 +138,17 @@ def stable_json_hash(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", C.stable_json("n_regionkey", "n_nationkey", "n_name").alias("digest"))
 
 
-@query(rf"""with {CODES}, c as (select sample_id, code, code like '%\end{{tikzpicture}}' as ok, sample_id % 10 = 0 as cached, code || chr(10) || '\end{{tikzpicture}}' as mended from codes)
-select sample_id, case when code in (select code from c where cached) then 'cached' when ok then 'ok' else 'repaired' end as outcome from c""".replace("\\end", "\end"))
+@query(rf"""with {CODES}, c as (select sample_id, code, not contains(code, '```') and contains(code, '>=stealth') as ok, contains(code, '>=stealth') as mendable, sample_id % 10 = 0 as cached from codes)
+select sample_id, case when code in (select code from c where cached) then 'cached' when ok then 'ok' when mendable then 'repaired' else 'failed' end as outcome from c""")
 def compile_repair(spark, sf_dir):
     own = codes(spark, sf_dir).select("sample_id", "code")
     cache = own.where("sample_id % 10 = 0").select(F.sha2("code", 256).alias("content_hash"), F.col("code").alias("final"))
-    end = F.lit("\\end{tikzpicture}")
-    return C.compile_and_repair(own, "code", F.endswith("code", end), F.concat("code", F.lit("\n"), end), cache).select("sample_id", "outcome")
+    # In a compiler's place: no fence, and a certain option.
+    compiles = ~F.contains("code", F.lit("```")) & F.contains("code", F.lit(">=stealth"))
+    return C.compile_and_repair(own, "code", compiles, F.replace("code", F.lit("```"), F.lit("")), cache).select("sample_id", "outcome")
 
 
-def _fits(rules, swap=False):
+def _fits(rules):
     return "list_filter([" + ", ".join("case when regexp_matches(code, '" + pattern.replace("'", "''") + f"') then '{name}' end" for pattern, name in rules) + "], lambda x: x is not null)"
 
 
