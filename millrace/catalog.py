@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import builders, checks, documents, files, leaks, measures, more, sampling, texts  # noqa: F401  (they register their queries)
+from .plans import builders, checks, documents, files, leaks, measures, more, sampling, sinks, texts  # noqa: F401  (they register their queries)
 from .plans.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

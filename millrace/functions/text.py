@@ -59,7 +59,7 @@ def without_comments(text: Column) -> Column:
 
 def normalised(text: Column) -> Column:
     """Comments gone, white space collapsed, trimmed, lower case."""
-    return F.lower(strip(F.regexp_replace(without_comments(text), rf"{WS}+", " ")))
+    return F.lower(F.trim(F.regexp_replace(without_comments(text), rf"{WS}+", " ")))
 
 
 def tokens(text: Column) -> Column:

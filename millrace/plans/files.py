@@ -46,7 +46,7 @@ def dataset_fingerprint(spark, sf_dir):
     return one.join(again, one["n"] == again["m"]).join(F.broadcast(sums)).select("n", "ids", "first", "last", (F.col("digest") == F.col("other")).alias("stable"))
 
 
-@query("with m as (select min(doc_id) l, max(doc_id) h from documents), b as (select floor((doc_id - l) * 1024 / (h - l + 1))::int b, sha256(string_agg(doc_id, chr(10) order by doc_id) || chr(10)) d from documents, m group by 1) select sha256(string_agg(d, chr(10) order by b)) as digest from b")
+@query("with b as (select doc_id // 65536 b, sha256(string_agg(doc_id, chr(10) order by doc_id)) d from documents group by 1), c as (select b // 65536 c, sha256(string_agg(d, chr(10) order by b)) d from b group by 1) select sha256(string_agg(d, chr(10) order by c)) as digest from c")
 def ordered_ids_digest(spark, sf_dir):
     return Files.ids_digest(table(spark, sf_dir, "documents"), "doc_id")
 

@@ -52,9 +52,9 @@ def fixed_sample(spark, sf_dir):
     return S.fixed_sample(_docs(spark, sf_dir), "doc_id", "doc_id", 25, 23).select("doc_id")
 
 
-@query("select row_number() over (order by sha256('20:' || item_id), item_id) - 1 as position, item_id from benchmark")
+@query("select row_number() over (order by sha256('20:' || event_id), event_id) - 1 as position, event_id from events")
 def epoch_order(spark, sf_dir):
-    return S.epoch_order(table(spark, sf_dir, "benchmark"), "item_id", 17, 3)
+    return S.epoch_order(table(spark, sf_dir, "events"), "event_id", 17, 3)
 
 
 @query("with n as (select count(*) c from documents) select doc_id from documents, n qualify row_number() over (order by doc_id) <= c - c % 16")
@@ -99,9 +99,9 @@ def length_ge_fractions(spark, sf_dir):
     return P.shares_from(_lengths(spark, sf_dir), "n")
 
 
-@query("select term, count(*) n from (select unnest(regexp_extract_all(text, '[A-Za-z]{4,}')) term from benchmark) group by 1 order by 2 desc, 1 limit 50")
+@query("select term, count(*) n from (select unnest(regexp_extract_all(text, '[A-Za-z]{4,}')) term from documents) group by 1 order by 2 desc, 1 limit 50")
 def top_terms(spark, sf_dir):
-    return P.top_terms(table(spark, sf_dir, "benchmark"), "text", "[A-Za-z]{4,}")
+    return P.top_terms(table(spark, sf_dir, "documents"), "text", "[A-Za-z]{4,}")
 
 
 @query(r"select sum(len(regexp_extract_all(text, '[0-9]{4,}')))::bigint as numbers, sum(len(regexp_extract_all(text, '(?i)licensed')))::bigint as licences, sum(len(regexp_extract_all(text, '\|')))::bigint as bars from documents")

@@ -108,14 +108,22 @@ def row_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("digest"))
 
 
-def ids_digest(df: DataFrame, key: str, blocks: int = 1024) -> DataFrame:
-    """One row: a digest of all ids in order. Ids are digested in ranges, then the ranges' digests in turn, so no task holds all."""
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return df.sparkSession.range(1).select(F.sha2(F.lit(""), 256).alias("digest"))
-    slot = F.floor((F.col(key) - low) * blocks / (high - low + 1)).cast("int")
-    own = df.select(F.col(key).alias("k"), slot.alias("b")).groupBy("b").agg(F.sha2(F.concat(F.array_join(F.sort_array(F.collect_list("k")).cast("array<string>"), "\n"), F.lit("\n")), 256).alias("d"))
-    return own.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda x: x["d"]), "\n"), 256).alias("digest"))
+def ids_digest(df: DataFrame, key: str, width: int = 1 << 16) -> DataFrame:
+    """One row: a digest of all ids in order, as a tree of three levels.
+
+    Ids are digested by ranges of `width` values, these digests by runs of `width` ranges, and
+    those in turn: a task holds one range's ids, or one run's digests.
+    """
+    joined = lambda order, value: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value].cast("string")), "\n"), 256)
+    own = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(key).alias("v"), F.floor(F.col(key) / width).alias("b"))
+    ranges = own.groupBy("b").agg(joined("k", "v").alias("d")).withColumn("c", F.floor(F.col("b") / width))
+    runs = ranges.groupBy("c").agg(joined("b", "d").alias("d"))
+    return runs.agg(joined("c", "d").alias("digest"))
+
+
+def complete(df: DataFrame, truncated: Column) -> DataFrame:
+    """Rows that are not marked as truncated."""
+    return df.where(~F.coalesce(truncated, F.lit(False)))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
