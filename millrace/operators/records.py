@@ -29,6 +29,22 @@ def description(*candidates: Column) -> Column:
     return F.coalesce(*(T.filled(c) for c in candidates))
 
 
+def preferred(*candidates: Column, otherwise: Column) -> Column:
+    """The first text that is not blank, as it is; else another value, or an empty text."""
+    return F.coalesce(*(F.when(T.filled(c).isNotNull(), c) for c in candidates), otherwise, F.lit(""))
+
+
+def described(*candidates: Column, prompt_text: Column) -> Column:
+    """A record's description: the first of its own that is not blank, else the prompt's own words."""
+    return F.coalesce(description(*candidates), bare_prompt(prompt_text))
+
+
+def evaluated(prompt_text: Column, completion: Column) -> Column:
+    """The document that is compared: what stands before the prompt's fence, then the completion's body."""
+    head = F.regexp_replace(F.split(prompt_text, "```latex", 2)[0], r"[\t\n\x0B\f\r ]+\z", "")
+    return F.concat(T.strip(F.concat(head, F.lit("\n"), completion)), F.lit("\n"))
+
+
 def hydrated(df: DataFrame, dataset: str, split: str) -> DataFrame:
     """Adds the metadata struct; origin falls back to uri, file_id and sample_id."""
     known = [c for c in ("file_id", "caption", "uri") if c in df.columns]

@@ -232,11 +232,18 @@ def stage_of(length: Column, centres: list[float]) -> Column:
     return out
 
 
-def manifest_rows(records: DataFrame, ids: DataFrame, key: str, order: str, first: bool = False) -> DataFrame:
-    """The records that (position, key) names, in its order; of several records of a key the last, or the first."""
+def probe_split(df: DataFrame, mode: str, key: str, size: int, seed: int, keep: int = 0) -> DataFrame:
+    """df with `probe`: an equal-mode sample held out, which leaves at least `keep` records of each mode where it has more."""
+    probe = equal_sample(df.select(mode, key), mode, key, size, seed, keep).select(F.col(key).alias("_p"))
+    return df.join(F.broadcast(probe), F.col(key) == F.col("_p"), "left").withColumn("probe", F.col("_p").isNotNull()).drop("_p")
+
+
+def manifest_rows(records: DataFrame, ids: DataFrame, key: str, order: str, first: bool = False, most: int | None = None) -> DataFrame:
+    """The records that (position, key) names, in its order, `most` of them; ids without a record are left out; of several records of a key the last, or the first."""
     pick = F.min_by if first else F.max_by
     own = records.groupBy(key).agg(pick(F.struct(*[c for c in records.columns if c != key]), order).alias("r"))
-    return ids.join(own, key).select("position", key, "r.*").orderBy("position")
+    found = ids.join(own, key).select("position", key, "r.*").orderBy("position")
+    return found if most is None else found.limit(most)
 
 
 def grid(spark: SparkSession, **options: list) -> DataFrame:

@@ -165,7 +165,7 @@ def cosine_pairs(spark, sf_dir):
     return V.all_cosines(_vector_pairs(spark, sf_dir, F.col("vec_id") % 100 == 0)).select("i", "j", F.round("cosine", 6).alias("cosine"))
 
 
-@query(f"with {_COS}, x as (select a, b, avg(m) x from (select a, b, i, max(c) m from p group by all) group by all), y as (select a, b, avg(m) y from (select a, b, j, max(c) m from p group by all) group by all) select a, b, round((x + y) / 2, 6) as score from x join y using (a, b)")
+@query(f"with {_COS}, x as (select a, b, avg(m) x from (select a, b, i, max(c) m from p group by all) group by all), y as (select a, b, avg(m) y from (select a, b, j, max(c) m from p group by all) group by all) select a::bigint as a, b::bigint as b, round((x + y) / 2, 6) as score from x join y using (a, b)")
 def selfsim_by_label(spark, sf_dir):
     return V.set_similarity(_vector_pairs(spark, sf_dir))
 

@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import packing as K
 from ..operators import records as R
 from ..operators import similarity as V
+from ..operators import splits as S
 from ..sources import files as Files
 from .base import query, table
 from .checks import _folders
@@ -73,3 +74,35 @@ def bare_prompts(spark, sf_dir):
     code = F.col("code")
     made = R.prompt(F.concat(F.lit("  a figure of "), "source", F.lit("\n")), T.generation_mode(code), T.libraries(code), T.bounding_box(code))
     return codes(spark, sf_dir).select("sample_id", R.bare_prompt(made).alias("words"))
+
+
+@query(f"""with {CODES} select sample_id, case when sample_id % 3 = 0 then ' ' || source || ' ' when sample_id % 3 = 1 then code else 'x' end as target,
+case when sample_id % 4 > 0 then 'a caption ' || source else 'a figure of ' || source end as description from codes""")
+def record_texts(spark, sf_dir):
+    key, code = F.col("sample_id"), F.col("code")
+    blank = F.when(key % 2 == 0, F.lit(" \n"))
+    named = F.when(key % 3 == 0, F.concat(F.lit(" "), "source", F.lit(" "))).otherwise(blank)
+    made = R.prompt(F.concat(F.lit("a figure of "), "source"), T.generation_mode(code), T.libraries(code), T.bounding_box(code))
+    caption = F.when(key % 4 > 0, F.concat(F.lit("  a caption "), "source", F.lit(" "))).otherwise(F.lit("\t"))
+    target = R.preferred(named, F.when(key % 3 == 1, code), otherwise=F.lit("x"))
+    return codes(spark, sf_dir).select("sample_id", target.alias("target"), R.described(blank, caption, prompt_text=made).alias("description"))
+
+
+@query(rf"""with {CODES}, p as (select sample_id, 'Draw ' || source || chr(10) as head, regexp_replace(code, '\A[\t\n\x0B\f\r ]+|[\t\n\x0B\f\r ]+\z', '', 'g') as body from codes)
+select sample_id, sha256(regexp_replace(head, '[\t\n\x0B\f\r ]+\z', '') || chr(10) || body || chr(10)) as document_hash from p""")
+def evaluated_documents(spark, sf_dir):
+    made = F.concat(F.lit("Draw "), "source", F.lit("\n```latex\nignored ```latex"))
+    return codes(spark, sf_dir).select("sample_id", F.sha2(R.evaluated(made, F.concat("code", F.lit("\n"))), 256).alias("document_hash"))
+
+
+@query("""with d as (select doc_id, lang, row_number() over (partition by lang order by sha256('9:' || doc_id), doc_id) r from documents), c as (select lang, count(*) n, row_number() over (order by lang) i, count(*) over () k from documents group by 1)
+select doc_id, lang, r <= 40 // k + (i <= 40 % k)::int as probe from d join c using (lang)""")
+def probe_split(spark, sf_dir):
+    return S.probe_split(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id", 40, 9, keep=5)
+
+
+@query("with m as (select (doc_id * 7 + 3) % 50 as position, doc_id * 3 as doc_id from documents where doc_id < 50) select position, m.doc_id, lang from m join documents d on d.doc_id = m.doc_id order by position limit 20")
+def manifest_head(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("doc_id").alias("o"))
+    ids = docs.where("doc_id < 50").select(((F.col("doc_id") * 7 + 3) % 50).alias("position"), (F.col("doc_id") * 3).alias("doc_id"))
+    return S.manifest_rows(docs, ids, "doc_id", "o", first=True, most=20).drop("o")
