@@ -252,7 +252,8 @@ def last_fenced_block(spark, sf_dir):
 select a.sample_id, round(case when len(a.t) + len(b.t) = 0 then 1.0 else len(list_intersect(a.t, b.t))::double / len(list_distinct(list_concat(a.t, b.t))) end, 6) as jaccard from t a join t b on b.sample_id = a.sample_id + 1""")
 def token_jaccard(spark, sf_dir):
     own = codes(spark, sf_dir).select("sample_id", F.array_distinct(T.tokens(F.col("code"))).alias("t"))
-    other = own.select((F.col("sample_id") - 1).alias("sample_id"), F.col("t").alias("o"))
+    # Merged, not broadcast: Spark takes an array for one element when it estimates a table's size.
+    other = own.select((F.col("sample_id") - 1).alias("sample_id"), F.col("t").alias("o")).hint("merge")
     return own.join(other, "sample_id").select("sample_id", F.round(T.jaccard(F.col("t"), F.col("o")), 6).alias("jaccard"))
 
 

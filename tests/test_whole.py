@@ -65,6 +65,16 @@ def test_edit_distance_of_whole_texts(spark, tmp_path):
     assert got == {i: distance(split[i], split[i + 1]) for i in range(4)} and got[3] == 4
 
 
+def test_no_token_arrays_on_the_driver(spark):
+    """Small as the table is, its tokens are joined by a shuffle: no broadcast, however the size is estimated."""
+    tables = "/root/testdata/sf0.001"
+    for name in ("token_jaccard", "token_jaccard_documents"):
+        df = catalog.QUERIES[name](spark, tables)
+        assert df.count() > 0
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_every_document_has_its_ids(spark, tmp_path):
     rows = [(i, None if i % 7 == 0 else f"s{i % 3}", f"text {i}") for i in range(60)]
     spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
