@@ -68,6 +68,9 @@ def test_transport_of_odd_sets():
     one, two = r.normal(size=(60, 5)), r.normal(size=(45, 5))
     hub, zero = np.repeat(one[:1], 70, 0), np.zeros((3, 5))
     sets = [one, two, one[:1], np.concatenate([one, hub]), np.concatenate([two, zero]), zero, np.round(one), -one, np.concatenate([hub, two[:40] * 1e-9])]
+    # Two tight clusters, of which each side has most in another.
+    far = [np.where(np.arange(80)[:, None] < share, 1, -1) * np.eye(5)[0] + 1e-6 * r.normal(size=(80, 5)) for share in (72, 8)]
+    sets += far
     for a in sets:
         for b in sets:
             x, y = (np.divide(s, np.linalg.norm(s, axis=1, keepdims=True), out=np.zeros(s.shape), where=s.any(1, keepdims=True)) for s in (a, b))
